@@ -122,3 +122,41 @@ cycles AS (
          coalesce(avg(c.len), 0.0) AS avg_cycle_len
   FROM active s LEFT JOIN cyc c ON c.account_id = s.account_id AND c.anchor = s.anchor_date
   GROUP BY 1, 2)"""
+
+
+LEDGER_COLS = ["txn_id", "from_acc", "to_acc", "l_orderkey", "l_linenumber", "l_partkey",
+               "from_bank", "from_account", "to_bank", "to_account", "amount_paid",
+               "amount_received", "payment_currency", "receiving_currency", "payment_format",
+               "is_laundering", "ts", "run_date"]
+
+
+def cols(names=None, alias: str = "") -> str:
+    """Select list with the temporal columns rendered as text."""
+    p = f"{alias}." if alias else ""
+    out = []
+    for c in names or LEDGER_COLS:
+        if c == "ts":
+            out.append(f"strftime({p}ts, '%Y-%m-%d %H:%M:%S') AS ts")
+        elif c == "run_date":
+            out.append(f"strftime({p}run_date, '%Y-%m-%d') AS run_date")
+        else:
+            out.append(f"{p}{c}")
+    return ", ".join(out)
+
+
+SUSPECTS = """sus AS (
+  SELECT from_bank AS bank, from_account AS account FROM ledger WHERE is_laundering = 1
+  UNION
+  SELECT to_bank, to_account FROM ledger WHERE is_laundering = 1)"""
+
+# Reference formulation: union of sender and receiver matches, one row per txn_id, sender first.
+RELATED = """matches AS (
+  SELECT l.*, s.bank, s.account, 0 AS side FROM ledger l
+    JOIN sus s ON l.from_bank = s.bank AND l.from_account = s.account
+  UNION ALL
+  SELECT l.*, s.bank, s.account, 1 AS side FROM ledger l
+    JOIN sus s ON l.to_bank = s.bank AND l.to_account = s.account),
+related AS (
+  SELECT * EXCLUDE (rn, side) FROM (
+    SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY side) AS rn FROM matches)
+  WHERE rn = 1)"""
