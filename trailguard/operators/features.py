@@ -138,3 +138,41 @@ def with_round_trips(features: DataFrame, trips: DataFrame) -> DataFrame:
         "round_trip_combined": F.coalesce(F.col("_rt_n"), F.lit(0)).cast("bigint"),
         "avg_round_trip_len": F.coalesce(F.col("_rt_len"), F.lit(0.0)),
     }).select(*FEATURE_COLUMNS)
+
+
+SNAPSHOT_COLUMNS = ["account_id", "feature_day_tx_count", "feature_day_avg_amount",
+                    "feature_day_unique_targets", "feature_round_trip_count",
+                    "feature_round_trip_avg_len", "feature_small_tx_count"]
+
+
+def account_snapshot(edges: DataFrame, run_date: str, days: int = WINDOW_DAYS,
+                     threshold: float = SMALL_AMOUNT) -> DataFrame:
+    """M8: the three batch enrichers for one run_date, as one wide nullable table.
+
+    Each enricher only reaches the accounts it has rows for, so absent properties stay NULL.
+    """
+    from trailguard.operators.cycles import round_trips
+    spark = edges.sparkSession
+    anchors = spark.range(1).select(F.to_date(F.lit(run_date)).alias("anchor"))
+    stats = tx_stats(edges, anchors, days).select(
+        "account_id", F.col("tx_count").alias("feature_day_tx_count"),
+        F.col("avg_amount").alias("feature_day_avg_amount"),
+        F.col("unique_targets").alias("feature_day_unique_targets"))
+    trips = round_trips(edges, anchors, days).select(
+        "account_id", F.col("round_trip_count").alias("feature_round_trip_count"),
+        F.col("avg_round_trip_length").alias("feature_round_trip_avg_len"))
+    small = structuring(edges, anchors, days, threshold).select(
+        "account_id", F.col("small_tx_count").alias("feature_small_tx_count"))
+    return stats.join(trips, "account_id", "full").join(small, "account_id", "full") \
+                .select(*SNAPSHOT_COLUMNS)
+
+
+def merge_snapshot(old: DataFrame, new: DataFrame, replace: bool = False) -> DataFrame:
+    """Upsert ``new`` into ``old`` by account_id; a property absent from ``new`` keeps its
+    old value (Q11).  ``replace=True`` drops stale properties instead."""
+    if replace:
+        return new.select(*SNAPSHOT_COLUMNS)
+    props = [c for c in SNAPSHOT_COLUMNS if c != "account_id"]
+    o = old.select("account_id", *[F.col(c).alias(f"_o_{c}") for c in props])
+    j = new.select("account_id", *props).join(o, "account_id", "full")
+    return j.select("account_id", *[F.coalesce(F.col(c), F.col(f"_o_{c}")).alias(c) for c in props])

@@ -160,3 +160,32 @@ related AS (
   SELECT * EXCLUDE (rn, side) FROM (
     SELECT *, row_number() OVER (PARTITION BY txn_id ORDER BY side) AS rn FROM matches)
   WHERE rn = 1)"""
+
+
+def trails_for(anchor_sql: str) -> str:
+    """TRAILS restricted to the anchors of a sub-select, e.g. ``SELECT DATE '1999-03-10' AS anchor``."""
+    return TRAILS.replace("JOIN anchors a", f"JOIN ({anchor_sql}) a")
+
+
+def snapshot_sql(name: str, day: str) -> str:
+    """CTEs ``{name}`` = account snapshot (M8) for one run_date."""
+    a = f"SELECT DATE '{day}' AS anchor"
+    t = trails_for(a).replace("win AS", f"{name}_win AS").replace("trails AS", f"{name}_trails AS") \
+        .replace("trips AS", f"{name}_trips AS").replace("FROM win", f"FROM {name}_win") \
+        .replace("JOIN win", f"JOIN {name}_win").replace("FROM trails", f"FROM {name}_trails")
+    return t + f""",
+{name}_stats AS (
+  SELECT src AS account_id, count(*) AS feature_day_tx_count,
+         {money_avg('amount_paid')} AS feature_day_avg_amount,
+         count(DISTINCT dst) AS feature_day_unique_targets
+  FROM edges WHERE run_date > DATE '{day}' - 5 AND run_date <= DATE '{day}' GROUP BY 1),
+{name}_small AS (
+  SELECT src AS account_id, count(*) AS feature_small_tx_count
+  FROM edges WHERE run_date > DATE '{day}' - 5 AND run_date <= DATE '{day}'
+   AND amount_paid < 10000 GROUP BY 1),
+{name} AS (
+  SELECT account_id, feature_day_tx_count, feature_day_avg_amount, feature_day_unique_targets,
+         round_trip_count AS feature_round_trip_count,
+         avg_round_trip_length AS feature_round_trip_avg_len, feature_small_tx_count
+  FROM {name}_stats FULL OUTER JOIN {name}_trips USING (account_id)
+       FULL OUTER JOIN {name}_small USING (account_id))"""

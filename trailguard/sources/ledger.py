@@ -83,19 +83,37 @@ def number_ledger(src: DataFrame) -> DataFrame:
         *[c for c in LEDGER_COLUMNS if c not in ("txn_id", "from_acc", "to_acc")])
 
 
-_MEMO: dict[tuple[str, str], str] = {}
-_LOCK = threading.Lock()
+_MEMO: dict[tuple[str, str, str], str] = {}
+_LOCK = threading.RLock()
 
 
-def prepared_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The numbered ledger, materialised once per session and then read as Parquet."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+def memo_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Path of a derived table written once per session: ``build(path)`` writes it."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     with _LOCK:
         path = _MEMO.get(key)
         if path is None:
-            path = scratch_path(spark, "ledger")
-            (number_ledger(ledger_source(spark, sf_dir))
-             .sortWithinPartitions("run_date", "ts")
-             .write.mode("overwrite").parquet(path))
+            path = scratch_path(spark, name)
+            build(path)
             _MEMO[key] = path
-    return spark.read.parquet(path)
+    return path
+
+
+def prepared_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbered ledger, materialised once per session and then read as Parquet."""
+    def build(path):
+        (number_ledger(ledger_source(spark, sf_dir))
+         .sortWithinPartitions("run_date", "ts")
+         .write.mode("overwrite").parquet(path))
+    return spark.read.parquet(memo_path(spark, sf_dir, "ledger", build))
+
+
+def partitioned_ledger_root(spark: SparkSession, sf_dir: str) -> str:
+    """The prepared ledger in the reference's year=/month=/day= layout (M2), written once."""
+    from trailguard.operators.ledger import with_date_parts
+    from trailguard.sources.files import write_partitioned
+
+    def build(path):
+        write_partitioned(with_date_parts(prepared_ledger(spark, sf_dir)), path,
+                          ["year", "month", "day"], ["ts", "txn_id"])
+    return memo_path(spark, sf_dir, "ledger-by-day", build)
