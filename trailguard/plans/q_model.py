@@ -1 +1,120 @@
-"""Registered queries."""
+"""Model and rule queries: feature vector, rules, scaler, isolation forest, persistence."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from trailguard.functions.rules import RuleThresholds, evaluate_rules
+from trailguard.operators import cycles, features, model
+from trailguard.plans import oracle_sql as O
+from trailguard.plans.catalog import register
+from trailguard.session import scratch_path
+from trailguard.sources.ledger import memo_path, prepared_ledger
+
+# Thresholds for this data (FIXTURES F7); the defaults (10 for smurfing and count) are hit by
+# unit fixtures only.
+DATA_RULES = RuleThresholds(smurfing=1e-4, target_growth=2, tx_count_delta=1, amount_spike=5)
+
+
+def _rolling(spark, sf_dir):
+    return features.rolling_features(features.edges_of(prepared_ledger(spark, sf_dir)))
+
+
+def _rolling_full(spark, sf_dir):
+    e = features.edges_of(prepared_ledger(spark, sf_dir))
+    return features.with_round_trips(features.rolling_features(e), cycles.round_trips(e))
+
+
+def trained_model(spark, sf_dir) -> model.Forest:
+    """The forest trained on the rolling features, fitted and saved once per session."""
+    def build(path):
+        model.save_model(model.fit_forest(_rolling(spark, sf_dir)), path)
+    return model.load_model(spark, memo_path(spark, sf_dir, "iforest", build))
+
+
+@register("model_features", O.with_ledger(
+    "SELECT account_id, feature_date, "
+    + ", ".join(f"CAST(coalesce({c}, 0) AS DOUBLE) AS {c}" for c in model.MODEL_FEATURES)
+    + " FROM rolling", O.HISTORY, O.TODAY, O.FEATURES))
+def model_features(spark, sf_dir):
+    return model.model_features(_rolling(spark, sf_dir))
+
+
+FULL = """full_feats AS (
+SELECT r.account_id, tx_count_delta, avg_amount_spike, target_growth, smurfing_score,
+       CAST(coalesce(t.round_trip_count, 0) AS BIGINT) AS round_trip_combined,
+       coalesce(t.avg_round_trip_length, 0.0) AS avg_round_trip_len, r.feature_date
+FROM rolling r LEFT JOIN trips t
+  ON t.account_id = r.account_id AND strftime(t.anchor_date, '%Y-%m-%d') = r.feature_date)"""
+
+_R = DATA_RULES
+RULES_SQL = f"""SELECT account_id, feature_date,
+  (smurfing_score > {_R.smurfing} OR target_growth > {_R.target_growth}
+   OR tx_count_delta > {_R.tx_count_delta}
+   OR (round_trip_combined > 0 AND avg_round_trip_len >= {_R.round_trip_len})
+   OR avg_amount_spike > {_R.amount_spike}) AS rule_hit,
+  concat_ws(', ',
+    CASE WHEN smurfing_score > {_R.smurfing} THEN 'Smurfing' END,
+    CASE WHEN target_growth > {_R.target_growth} THEN 'New Targets Spike' END,
+    CASE WHEN tx_count_delta > {_R.tx_count_delta} THEN 'Tx Count Burst' END,
+    CASE WHEN round_trip_combined > 0 AND avg_round_trip_len >= {_R.round_trip_len}
+         THEN 'Round-trip' END,
+    CASE WHEN avg_amount_spike > {_R.amount_spike} THEN 'Avg Amount Spike' END) AS rule_reason
+FROM full_feats"""
+
+
+@register("rule_eval", O.with_ledger(RULES_SQL, O.HISTORY, O.TODAY, O.FEATURES, O.TRAILS, FULL))
+def rule_eval(spark, sf_dir):
+    """J1 on every (account, day) feature row, round trips included."""
+    return evaluate_rules(_rolling_full(spark, sf_dir), DATA_RULES).select(
+        "account_id", "feature_date", "rule_hit", "rule_reason")
+
+
+@register("scaler_fit")
+def scaler_fit(spark, sf_dir):
+    """D14 (rows-only: double aggregates differ in the last bits between engines;
+    unit-tested against numpy with a tolerance)."""
+    return model.fit_scaler(model.model_features(_rolling(spark, sf_dir)))
+
+
+@register("scaler_transform")
+def scaler_transform(spark, sf_dir):
+    """J2 (rows-only, see scaler_fit)."""
+    f = model.model_features(_rolling(spark, sf_dir))
+    return model.apply_scaler(f, model.fit_scaler(f))
+
+
+@register("iforest_trees")
+def iforest_trees(spark, sf_dir):
+    """A fresh fit; the node table of 100 trees."""
+    return model.fit_forest(_rolling(spark, sf_dir)).trees
+
+
+@register("iforest_score")
+def iforest_score(spark, sf_dir):
+    """Decision score and anomaly flag for every feature row."""
+    return model.score_forest(_rolling(spark, sf_dir), trained_model(spark, sf_dir))
+
+
+@register("anomaly_threshold")
+def anomaly_threshold(spark, sf_dir):
+    """The contamination offset of the trained model."""
+    m = trained_model(spark, sf_dir)
+    return spark.range(1).select(F.lit(m.offset).alias("offset"),
+                                 F.lit(m.sample_size).alias("sample_size"))
+
+
+@register("anomalies")
+def anomalies(spark, sf_dir):
+    """Flagged rows only."""
+    s = model.score_forest(_rolling(spark, sf_dir), trained_model(spark, sf_dir))
+    return s.where("is_anomaly")
+
+
+@register("model_roundtrip")
+def model_roundtrip(spark, sf_dir):
+    """Save, load, score again."""
+    m = trained_model(spark, sf_dir)
+    path = scratch_path(spark, "model-copy")
+    model.save_model(m, path)
+    return model.score_forest(_rolling(spark, sf_dir), model.load_model(spark, path))
