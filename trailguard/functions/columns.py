@@ -37,11 +37,25 @@ def money(c, scale: int = MONEY_SCALE) -> Column:
     return col.cast(f"decimal(18,{scale})")
 
 
+def cents(c, scale: int = MONEY_SCALE) -> Column:
+    """Money as an exact integer number of 10**-scale units (the DECIMAL(18, scale) value).
+
+    Sums of these BIGINTs are exact and run on primitive longs (a DECIMAL(18,2) sum widens to
+    DECIMAL(28,2), which Spark evaluates with BigDecimal)."""
+    return (money(c, scale) * (10 ** scale)).cast("bigint")
+
+
 def mean_of(sum_col: Column, count_col: Column) -> Column:
     """Average from an exact DECIMAL sum and a count: ``CAST(sum AS DOUBLE) / count``."""
     return sum_col.cast("double") / count_col.cast("double")
 
 
+def mean_of_cents(sum_cents: Column, count_col: Column, scale: int = MONEY_SCALE) -> Column:
+    """Same double as ``CAST(sum(DECIMAL) AS DOUBLE) / count``: the exact sum is an integer
+    below 2**53, so ``sum / 10**scale`` in double is the correctly rounded decimal value."""
+    return (sum_cents.cast("double") / F.lit(float(10 ** scale))) / count_col.cast("double")
+
+
 def date_text(c) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     return F.date_format(col, "yyyy-MM-dd")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailguard.functions.columns import (EPSILON, SMALL_AMOUNT, WINDOW_DAYS, date_text,
-                                          mean_of, money, ratio)
+from trailguard.functions.columns import (EPSILON, SMALL_AMOUNT, WINDOW_DAYS, cents, date_text,
+                                          mean_of_cents as mean_of, ratio)
 from trailguard.operators.windows import anchor_dates, to_anchors
 
 
@@ -23,7 +23,7 @@ def daily_targets(edges: DataFrame, threshold: float = SMALL_AMOUNT) -> DataFram
     """
     return edges.groupBy("src", "run_date", "dst").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(money("amount_paid")).alias("amt"),
+        F.sum(cents("amount_paid")).alias("amt"),
         F.count_if(F.col("amount_paid") < threshold).alias("small"))
 
 

@@ -4,8 +4,9 @@
 ``PARTITION BY day`` puts a hot day in one task.  Both are replaced by two distributed passes:
 
 1. range-partition on (by..., order...) and sort inside each partition; tag every row with its
-   partition id and a position that grows by one per row inside the partition; checkpoint so
-   that the sampled range boundaries and the positions are fixed for the second pass;
+   partition id and a position that grows by one per row inside the partition; write that to
+   the shared folder so the sampled range boundaries and the positions are fixed (stored as
+   columns) for the second pass;
 2. count rows per (partition, by...) -- at most ``partitions + groups`` rows -- turn the counts
    into per-group offsets with a window over that small table, and add offset + local index.
 
@@ -19,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trailguard.session import materialize
+
 
 def number_rows(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
                 name: str = "txn_id", partitions: int | None = None) -> DataFrame:
@@ -29,8 +32,9 @@ def number_rows(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
     ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     ranged = (ranged.sortWithinPartitions(*keys)
               .withColumn("_nr_part", F.spark_partition_id())
-              .withColumn("_nr_pos", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+              .withColumn("_nr_pos", F.monotonically_increasing_id()))
+    # fix boundaries and positions once: later passes read the stored (_nr_part, _nr_pos)
+    ranged = materialize(ranged, "numbering")
 
     counts = ranged.groupBy("_nr_part", *by).agg(
         F.count(F.lit(1)).alias("_nr_cnt"), F.min("_nr_pos").alias("_nr_first"))

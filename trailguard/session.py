@@ -65,3 +65,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused location under the shared folder."""
     return f"{shared_dir(spark)}/{_SUBDIR}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` as Parquet under the shared folder and reading it back.
+
+    Survives executor loss (the files are on shared storage) and, unlike an RDD checkpoint,
+    keeps column pruning and filter pushdown for the readers."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
