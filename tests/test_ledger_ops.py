@@ -141,3 +141,16 @@ def test_replace_day_and_prefix_delete(spark):
     assert sorted((r.src, r.dst) for r in out.collect()) == [("a", "b"), ("b", "c"), ("x", "y")]
     kept = graph.delete_by_prefix(e, "2022-09")
     assert [r.run_date for r in kept.collect()] == [dt.date(2022, 10, 11)]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 30), st.integers(-5, 5)), min_size=1,
+                max_size=50), st.integers(1, 4))
+def test_prefix_sums_equal_window(spark, rows, parts):
+    from trailguard.operators.numbering import prefix_sums
+    df = spark.createDataFrame([(g, v, x, i) for i, (g, v, x) in enumerate(rows)],
+                               "g int, v int, x int, i int")
+    got = prefix_sums(df, {"s": F.col("x")}, by=["g"], order=["v", "i"], partitions=parts)
+    w = Window.partitionBy("g").orderBy("v", "i").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("s", F.sum("x").over(w))
+    assert sorted(got.select("i", "s").collect()) == sorted(want.select("i", "s").collect())
