@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailguard.session import materialize
+from trailguard.session import materialize, stash
 
 
 def number_rows(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
@@ -53,7 +53,7 @@ def number_rows(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
 
 
 def prefix_sums(df: DataFrame, values: dict, by: Sequence[str], order: Sequence[str],
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, cache: list | None = None) -> DataFrame:
     """Running sums of ``values`` (name -> column) over ``order`` within ``by`` groups, rows
     included, without putting a group in one task: the same two passes as :func:`number_rows`
     (range partitions bound every local window; per-(partition, group) totals become offsets).
@@ -62,7 +62,7 @@ def prefix_sums(df: DataFrame, values: dict, by: Sequence[str], order: Sequence[
     keys = by + order
     src = df.withColumns({f"_ps_{k}": v for k, v in values.items()})
     ranged = src.repartitionByRange(partitions, *keys) if partitions else src.repartitionByRange(*keys)
-    ranged = materialize(ranged.withColumn("_ps_part", F.spark_partition_id()), "prefix")
+    ranged = stash(ranged.withColumn("_ps_part", F.spark_partition_id()), "prefix", cache)
     local = Window.partitionBy("_ps_part", *by).orderBy(*order) \
                   .rowsBetween(Window.unboundedPreceding, 0)
     loc = ranged.withColumns({f"_ps_loc_{k}": F.sum(f"_ps_{k}").over(local) for k in values})

@@ -76,3 +76,15 @@ def materialize(df, name: str = "stage"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def stash(df, name: str, cache: list | None = None):
+    """Reuse point for a frame read several times: in a batch job it is written to the shared
+    folder (:func:`materialize`); inside a micro-batch (``cache`` given) it is persisted for
+    the batch and appended to ``cache`` for the caller to unpersist -- a failed micro-batch is
+    replayed from the stream checkpoint, so it needs no durable copy."""
+    if cache is None:
+        return materialize(df, name)
+    df = df.persist()
+    cache.append(df)
+    return df
