@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailguard.plans import oracle_sql as O
+from trailguard.session import ship_package
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -38,6 +39,7 @@ def temporal_as_text(df: DataFrame) -> DataFrame:
 def register(name: str, oracle: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
             return temporal_as_text(fn(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

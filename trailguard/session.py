@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -41,6 +44,7 @@ def build_session(master: str | None = None, app: str = "trailguard",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     shared_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -88,3 +92,26 @@ def stash(df, name: str, cache: list | None = None):
     df = df.persist()
     cache.append(df)
     return df
+
+
+_SHIPPED: set = set()
+_SHIP_LOCK = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``trailguard`` importable in the Python workers (pandas UDFs, applyInPandas and
+    the stream state function refer to it): zip the package once per SparkContext and add it
+    with ``addPyFile`` -- what ``spark-submit --py-files`` does for a cluster job."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    with _SHIP_LOCK:
+        if key in _SHIPPED:
+            return
+        pkg = Path(__file__).resolve().parent
+        fd, zpath = tempfile.mkstemp(prefix="trailguard-", suffix=".zip")
+        os.close(fd)
+        with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(pkg.rglob("*.py")):
+                z.write(f, str(f.relative_to(pkg.parent)))
+        sc.addPyFile(zpath)
+        _SHIPPED.add(key)
