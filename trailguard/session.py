@@ -104,6 +104,10 @@ def ship_package(spark: SparkSession) -> None:
     with ``addPyFile`` -- what ``spark-submit --py-files`` does for a cluster job."""
     sc = spark.sparkContext
     key = sc.applicationId
+    conf = sc.getConf()
+    submitted = conf.get("spark.submit.pyFiles", "") or ""
+    if "trailguard" in submitted or (conf.get("trailguard.ship.package", "true") or "").lower() == "false":
+        return                      # already on the executors' path (spark-submit --py-files)
     with _SHIP_LOCK:
         if key in _SHIPPED:
             return
