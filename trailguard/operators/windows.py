@@ -32,10 +32,3 @@ def to_anchors(df: DataFrame, anchors: DataFrame | None, date_col: str = "run_da
     if anchors is None:
         anchors = anchor_dates(df, date_col)
     return out.join(anchors.select("anchor"), "anchor", "left_semi")
-
-
-def single_anchor(run_date: str):
-    """Anchor set holding one day, for the per-run_date form of the reference's jobs."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    return spark.range(1).select(F.to_date(F.lit(run_date)).alias("anchor"))
