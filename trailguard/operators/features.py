@@ -153,7 +153,11 @@ def account_snapshot(edges: DataFrame, run_date: str, days: int = WINDOW_DAYS,
     """
     from trailguard.operators.cycles import round_trips
     spark = edges.sparkSession
-    anchors = spark.range(1).select(F.to_date(F.lit(run_date)).alias("anchor"))
+    day = F.to_date(F.lit(run_date))
+    # only edges of (D-days, D] can contribute: a literal range the Parquet scan prunes on,
+    # so a daily snapshot reads its window instead of the whole history
+    edges = edges.where((F.col("run_date") > F.date_sub(day, days)) & (F.col("run_date") <= day))
+    anchors = spark.range(1).select(day.alias("anchor"))
     stats = tx_stats(edges, anchors, days).select(
         "account_id", F.col("tx_count").alias("feature_day_tx_count"),
         F.col("avg_amount").alias("feature_day_avg_amount"),
