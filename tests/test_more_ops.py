@@ -72,3 +72,20 @@ def test_partitioned_day_read_keeps_columns(spark, tmp_path):
     assert sorted(r.txn_id for r in day.collect()) == [2, 3]
     assert {"year", "month", "day"} <= set(day.columns)
     assert files.read_partitioned(spark, root).count() == 3          # dynamic overwrite: no dupes
+
+
+def test_registered_outputs_render_temporal_as_text(spark):
+    from trailguard.plans.catalog import temporal_as_text
+    df = spark.createDataFrame([(dt.date(2022, 9, 1), dt.datetime(2022, 9, 1, 6, 21), 1)],
+                               "d date, t timestamp, n int")
+    r = temporal_as_text(df).first()
+    assert (r.d, r.t, r.n) == ("2022-09-01", "2022-09-01 06:21:00", 1)
+
+
+def test_combine_edges_counts_shared_edges_once(spark):
+    from trailguard.operators import graph
+    cols = "src string, dst string, run_date date, txn_id long"
+    b = spark.createDataFrame([("a", "b", dt.date(2022, 9, 1), 1), ("a", "c", dt.date(2022, 9, 1), 2)], cols)
+    s = spark.createDataFrame([("a", "b", dt.date(2022, 9, 1), 1), ("c", "a", dt.date(2022, 9, 2), 1)], cols)
+    got = {(r.src, r.dst): (r.in_batch, r.in_stream) for r in graph.combine_edges(b, s).collect()}
+    assert got == {("a", "b"): (True, True), ("a", "c"): (True, False), ("c", "a"): (False, True)}
