@@ -198,18 +198,43 @@ def as_table(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays([pa.array(list(c), t) for c, t in zip(cols, schema.types)], schema=schema)
 
 
-def per_document(keys: np.ndarray, *arrays: np.ndarray) -> list[tuple[int, bytes]]:
-    """One (key, blob) row for each document from parallel arrays."""
-    order = np.argsort(keys, kind="stable")
-    keys, arrays = keys[order], [a[order] for a in arrays]
-    return [(k, pack(*[small(a[lo:hi]) for a in arrays])) for k, lo, hi in slices(keys)]
+SHARDS = pa.schema([("shard", pa.int64()), ("blob", pa.binary())])
 
 
-def with_found(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``doc_id, text, _k, blobs``: what an exchange found for each document (its size is bounded
-    by the document's own length)."""
-    lists = found.groupBy("_k").agg(F.collect_list("blob").alias("blobs"))
-    return docs.join(lists, "_k", "left").select("doc_id", "text", "_k", "blobs")
+def to_shards(buckets: int, keys: np.ndarray, *arrays: np.ndarray) -> pa.Table:
+    """What a bucket found, as one blob per shard of documents: rows grow with buckets and shards,
+    not with the buckets each document is spread over."""
+    shard = ranges(mix(keys.view(np.uint64)), buckets)
+    order = np.lexsort((keys, shard))
+    shard, keys, arrays = shard[order], keys[order], [a[order] for a in arrays]
+    rows = []
+    for s, lo, hi in slices(shard):
+        docs, idx = np.unique(keys[lo:hi], return_inverse=True)
+        rows.append((s, pack(deltas(docs), small(idx), *[small(a[lo:hi]) for a in arrays])))
+    return as_table(SHARDS, rows)
+
+
+def packed_keys(packed: np.ndarray) -> np.ndarray:
+    return np.cumsum(packed.view(np.int64))
+
 
+_PER_DOC = pa.schema([("_k", pa.int64()), ("blob", pa.binary())])
 
 
+def _by_document(key, table):
+    """One blob per document of a shard."""
+    parts = []
+    for b in table.column("blob"):
+        x = unpack(b.as_py())
+        parts.append((packed_keys(x[0])[x[1]], *x[2:]))
+    keys, *arrays = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(keys, kind="stable")
+    keys, arrays = keys[order], [a[order] for a in arrays]
+    return as_table(_PER_DOC, [(k, pack(*[small(a[lo:hi]) for a in arrays])) for k, lo, hi in slices(keys)])
+
+
+def with_found(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """``doc_id, text, _k, blob``: what an exchange found (shard, blob) for each document; its size
+    is bounded by the document's own length."""
+    each = found.groupBy("shard").applyInArrow(_by_document, "_k bigint, blob binary")
+    return docs.join(each, "_k", "left").select("doc_id", "text", "_k", "blob")

@@ -25,15 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from trailguard.llm.common import (
-    U64, Rolling, as_batch, as_table, bucket_count, chunks, deltas, keyed_documents, pack, per_document,
-    ranges, run_ids, slices, small, unpack, with_found, words_of)
+    U64, Rolling, as_batch, bucket_count, chunks, deltas, keyed_documents, pack, packed_keys,
+    ranges, run_ids, slices, small, to_shards, unpack, with_found, words_of)
 
 PERIOD = 13
 COVER = (0, 1, 3, 9)          # every residue modulo 13 is a difference of two of these
 BYTES, WORDS, TAIL = Rolling(11), Rolling(12), Rolling(13)
 
 BLOBS = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
-FOUND = pa.schema([("_k", pa.int64()), ("blob", pa.binary())])
 
 
 def _word_values(data, starts, ends):
@@ -93,10 +92,6 @@ def _anchors(buckets: int, length: int):
     return run
 
 
-def _keys(packed):
-    return np.cumsum(packed.view(np.int64) if packed.itemsize == 8 else packed.astype(np.int64))
-
-
 def _repeated(buckets: int):
     """Reduce side of step 1: positions of anchors that occur twice or more, by document."""
     def run(key, table):
@@ -104,7 +99,7 @@ def _repeated(buckets: int):
         k, at, name, witness = [], [], [], []
         for blob in table.column("blob"):
             x = unpack(blob.as_py())
-            k.append(_keys(x[0])[x[1]])
+            k.append(packed_keys(x[0])[x[1]])
             at.append(x[2].astype(np.int64))
             if bucket < buckets:
                 name.append(np.cumsum(x[3].astype(np.uint64)))
@@ -120,7 +115,7 @@ def _repeated(buckets: int):
             hit[order] = (twice | known)[run]
             hit &= ~witness            # a witness's own positions are already known
             k, at = k[hit], at[hit]
-        return as_table(FOUND, per_document(k, at))
+        return to_shards(buckets, k, at)
     return run
 
 
@@ -128,14 +123,14 @@ def _windows(buckets: int, length: int):
     """Map side of step 2: whole-window hashes of candidates."""
     def run(batches):
         for b in batches:
-            keys, found = b.column("_k").to_numpy(), b.column("blobs")
+            keys, found = b.column("_k").to_numpy(), b.column("blob")
             parts = []
             for lo, data, off in chunks(b.column("text")):
                 starts, ends, first = words_of(data, off)
                 mark = np.zeros(len(starts) + 1, np.int32)
                 for i in range(len(off) - 1):
-                    blobs = found[lo + i].as_py()
-                    for blob in blobs or ():
+                    blob = found[lo + i].as_py()
+                    if blob:
                         mark[first[i] + unpack(blob)[0].astype(np.int64) + 1] = 1
                 if not mark.any():
                     continue
@@ -182,7 +177,7 @@ def _later(buckets: int):
         k, at, hi, tail = [], [], [], []
         for blob in table.column("blob"):
             x = unpack(blob.as_py())
-            k.append(_keys(x[0])[x[1]])
+            k.append(packed_keys(x[0])[x[1]])
             at.append(x[2].astype(np.int64))
             if bucket < buckets:
                 hi.append(np.cumsum(x[3].astype(np.uint64)))
@@ -196,7 +191,7 @@ def _later(buckets: int):
             first_of = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1])))[run]
             later = (k != k[first_of]) | (at != at[first_of])
             k, at = k[later], at[later]
-        return as_table(FOUND, per_document(k, at))
+        return to_shards(buckets, k, at)
     return run
 
 
@@ -208,14 +203,14 @@ def _finish(length: int, with_text: bool):
     def run(batches):
         for b in batches:
             out = []
-            for doc_id, text, blobs in zip(*(b.column(c) for c in ("doc_id", "text", "blobs"))):
+            for doc_id, text, blob in zip(*(b.column(c) for c in ("doc_id", "text", "blob"))):
                 words = text.as_buffer().to_pybytes().split() if text.is_valid else []
                 removed = 0
                 kept = words
-                blobs = blobs.as_py()
-                if blobs:
+                blob = blob.as_py()
+                if blob:
                     cover = np.zeros(len(words) + 1, np.int32)
-                    at = np.unique(np.concatenate([unpack(x)[0] for x in blobs]).astype(np.int64))
+                    at = np.unique(unpack(blob)[0].astype(np.int64))
                     np.add.at(cover, at, 1)
                     np.add.at(cover, at + length, -1)
                     keep = np.cumsum(cover[:-1]) == 0
@@ -243,7 +238,7 @@ def dedup_substrings(docs: DataFrame, length: int = 20, with_text: bool = True)
     docs = keyed_documents(docs)
     n = bucket_count(docs)
     blobs = "bucket int, blob binary"
-    found = "_k bigint, blob binary"
+    found = "shard bigint, blob binary"
     anchors = (docs.select("_k", "text").mapInArrow(_anchors(n, length), blobs)
                .groupBy("bucket").applyInArrow(_repeated(n), found))
     later = (with_found(docs, anchors).mapInArrow(_windows(n, length), blobs)

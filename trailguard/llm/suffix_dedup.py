@@ -33,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from trailguard.llm.common import (
-    U64, Rolling, as_batch, as_table, bucket_count, chunks, deltas, keyed_documents, pack, per_document,
-    ranges, run_ids, slices, small, unpack, with_found)
-from trailguard.llm.substring_dedup import BLOBS, FOUND, _keys
+    SHARDS, U64, Rolling, as_batch, as_table, bucket_count, chunks, deltas, keyed_documents, pack, packed_keys,
+    ranges, run_ids, slices, small, to_shards, unpack, with_found)
+from trailguard.llm.substring_dedup import BLOBS
 
 BYTES, TAIL = Rolling(21), Rolling(22)
 FULL, PART, KNOWN, HOT = 0, 1, 2, 3     # what a sampled place is: see _named
@@ -146,7 +146,7 @@ def _named(buckets: int, hot_in_shard: int):
         cols = []
         for blob in table.column("blob"):
             x = unpack(blob.as_py())
-            k = _keys(x[0])[x[1]]
+            k = packed_keys(x[0])[x[1]]
             if bucket >= buckets:
                 cols.append((k, *(y.astype(np.int64) for y in x[2:5]), x[5], x[6].astype(np.int64)))
             else:
@@ -166,7 +166,7 @@ def _named(buckets: int, hot_in_shard: int):
             k, start, count, lead, name, ctx, flag, hot = (
                 x[keep] for x in (k, start, count, lead, name, ctx, flag, hot))
             if not len(k):
-                return as_table(FOUND, [])
+                return as_table(SHARDS, [])
             same = np.zeros(len(k), bool)
             same[1:] = (k[1:] == k[:-1]) & (start[1:] == start[:-1]) & (name[1:] == name[:-1])
             k, start, count, lead, name, ctx, flag, hot = (
@@ -183,7 +183,7 @@ def _named(buckets: int, hot_in_shard: int):
             sel = np.concatenate((np.flatnonzero(told), np.flatnonzero(rep)))
             kind = np.concatenate((np.full(told.sum(), FULL), kind[rep]))
             k, start, count, lead, name = (x[sel] for x in (k, start, count, lead, name))
-        return as_table(FOUND, per_document(k, start, count, lead, name, kind))
+        return to_shards(buckets, k, start, count, lead, name, kind)
     return run
 
 
@@ -191,28 +191,27 @@ def _tuples(buckets: int, length: int):
     """Map side of step 3: what is settled passes by; tuples of the rest carry their text."""
     def run(batches):
         for b in batches:
-            keys, found = b.column("_k").to_numpy(), b.column("blobs")
+            keys, found = b.column("_k").to_numpy(), b.column("blob")
             settled, items, texts, whole = [], [], [], []
             done = set()
             for lo, data, off in chunks(b.column("text")):
                 hot = []
                 for i in range(len(off) - 1):
-                    for blob in found[lo + i].as_py() or ():
-                        start, count, lead, name, kind = unpack(blob)
-                        start, count, lead = (x.astype(np.int64) for x in (start, count, lead))
-                        full = kind == FULL
-                        if full.any():
-                            settled.append((np.full(full.sum(), lo + i), start[full], count[full]))
-                        if keys[lo + i] in done:
-                            continue
-                        for j in np.flatnonzero((kind == PART) | (kind == KNOWN)):
-                            s = off[i] + start[j]
-                            items.append((lo + i, start[j], count[j], lead[j], int(name[j]), kind[j] == KNOWN))
-                            texts.append(data[s: s + count[j] - 1 + length].tobytes())
-                        for j in np.flatnonzero(kind == HOT):
-                            hot.append((i, start[j], count[j]))
-                    # a row listed twice sends its tuples once
+                    blob = found[lo + i].as_py()
+                    if not blob or keys[lo + i] in done:
+                        continue                # nothing found, or a row listed twice
                     done.add(keys[lo + i])
+                    start, count, lead, name, kind = unpack(blob)
+                    start, count, lead = (x.astype(np.int64) for x in (start, count, lead))
+                    full = kind == FULL
+                    if full.any():
+                        settled.append((np.full(full.sum(), lo + i), start[full], count[full]))
+                    for j in np.flatnonzero((kind == PART) | (kind == KNOWN)):
+                        s = off[i] + start[j]
+                        items.append((lo + i, start[j], count[j], lead[j], int(name[j]), kind[j] == KNOWN))
+                        texts.append(data[s: s + count[j] - 1 + length].tobytes())
+                    for j in np.flatnonzero(kind == HOT):
+                        hot.append((i, start[j], count[j]))
                 if hot:
                     i, s, n = (np.array(x, np.int64) for x in zip(*hot))
                     rows = np.repeat(i, n)
@@ -326,10 +325,10 @@ def _induce(buckets: int, length: int):
     def run(key, table):
         bucket = key[0].as_py()
         blobs = [unpack(x.as_py()) for x in table.column("blob")]
-        k = [_keys(x[0])[x[1]] for x in blobs]
+        k = [packed_keys(x[0])[x[1]] for x in blobs]
         if bucket >= 3 * buckets:
             start, count = (np.concatenate([x[i] for x in blobs]).astype(np.int64) for i in (2, 3))
-            return as_table(FOUND, per_document(np.concatenate(k), start, count))
+            return to_shards(buckets, np.concatenate(k), start, count)
         if bucket >= buckets:
             at, tail, known = (np.concatenate([x[i] for x in blobs]).astype(np.int64) for i in (2, 4, 5))
             hi = np.concatenate([np.cumsum(x[3].astype(np.uint64)) for x in blobs])
@@ -341,7 +340,7 @@ def _induce(buckets: int, length: int):
             other = (k != k[first_of]) | (at != at[first_of])
             hit = ((np.bincount(run, weights=other) > 0) | (np.bincount(run, weights=known) > 0))[run]
             k, at = k[hit], at[hit]
-            return as_table(FOUND, per_document(k, at, np.ones(len(at), np.int64)))
+            return to_shards(buckets, k, at, np.ones(len(at), np.int64))
         k = np.concatenate(k)
         start, count, lead = (np.concatenate([x[i] for x in blobs]).astype(np.int64) for i in (2, 3, 4))
         name = np.concatenate([x[5] for x in blobs])
@@ -361,7 +360,7 @@ def _induce(buckets: int, length: int):
         item, window = induced_repeats(name, count, lead, [texts[i] for i in o], length)
         real = ~known[item]
         item, window = item[real], window[real]
-        return as_table(FOUND, per_document(k[item], start[item] + window, np.ones(len(item), np.int64)))
+        return to_shards(buckets, k[item], start[item] + window, np.ones(len(item), np.int64))
     return run
 
 
@@ -373,13 +372,13 @@ def _finish(length: int, with_text: bool):
     def run(batches):
         for b in batches:
             out = []
-            for doc_id, text, blobs in zip(*(b.column(c) for c in ("doc_id", "text", "blobs"))):
+            for doc_id, text, blob in zip(*(b.column(c) for c in ("doc_id", "text", "blob"))):
                 raw = text.as_buffer().to_pybytes()
                 removed = spans = 0
                 kept = raw
-                blobs = blobs.as_py()
-                if blobs:
-                    start, count = (np.concatenate(x).astype(np.int64) for x in zip(*map(unpack, blobs)))
+                blob = blob.as_py()
+                if blob:
+                    start, count = (x.astype(np.int64) for x in unpack(blob))
                     cover = np.zeros(len(raw) + 1, np.int32)
                     np.add.at(cover, start, 1)
                     np.add.at(cover, start + count - 1 + length, -1)
@@ -411,7 +410,7 @@ def dedup_suffixes(docs: DataFrame, length: int = 200, with_text: bool = True,
     docs = keyed_documents(docs)
     n = bucket_count(docs)
     blobs = "bucket int, blob binary"
-    found = "_k bigint, blob binary"
+    found = "shard bigint, blob binary"
     named = (docs.select("_k", "text").mapInArrow(_samples(n, length, hot_contexts[0]), blobs)
              .groupBy("bucket").applyInArrow(_named(n, hot_contexts[1]), found))
     repeats = (with_found(docs, named).mapInArrow(_tuples(n, length), blobs)
