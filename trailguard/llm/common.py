@@ -20,8 +20,8 @@ from trailguard.operators.numbering import number_rows
 from trailguard.session import materialize, scratch_path, ship_package
 
 U64 = np.uint64
-CHUNK_BYTES = 1 << 20
-BATCH_ROWS_HINT = 10_000
+CHUNK_BYTES = 1 << 19
+GROUP_BYTES = 6 << 20
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -75,6 +75,20 @@ def chunks(col, limit: int = CHUNK_BYTES):
         lo = hi
 
 
+def chunk_groups(col, limit: int = GROUP_BYTES):
+    """Chunks in lists of about ``limit`` bytes: what one packed blob may cover at once, so that a
+    worker's memory doesn't depend on the size of Arrow batches."""
+    held, size = [], 0
+    for c in chunks(col):
+        held.append(c)
+        size += len(c[1])
+        if size >= limit:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over the 64 output bits."""
     x = x ^ (x >> U64(30))
