@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailguard.llm.common import as_batch, materialize, ship_package
+from trailguard.llm.common import as_batch, materialize, prepare
 
 BLOCK_ROWS = 32_768
 QUERY_ROWS = 64
@@ -169,7 +169,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     repeated query is asked once per distinct row.  Empty inputs give an empty result.  A score
     beyond 64 bits fails the job.
     """
-    ship_package(vectors.sparkSession)
+    prepare(vectors.sparkSession)
     index = materialize(build_index(vectors), "bit-slices")
     n = max(1, -(-queries.count() // QUERY_ROWS))
     groups = (queries.distinct().withColumn("dims", F.size("q"))

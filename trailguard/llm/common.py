@@ -13,7 +13,7 @@ import struct
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trailguard.operators.numbering import number_rows
@@ -21,18 +21,28 @@ from trailguard.session import materialize, scratch_path, ship_package
 
 U64 = np.uint64
 CHUNK_BYTES = 1 << 19
-GROUP_BYTES = 6 << 20
+GROUP_BYTES = 8 << 20
+BATCH_ROWS = 1000
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
 
+def prepare(spark: SparkSession) -> None:
+    """Ship the package, and keep Arrow batches of whole texts small: Spark's default of 10,000 rows
+    can be hundreds of megabytes in the JVM and the worker alike."""
+    ship_package(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def keyed_documents(docs: DataFrame) -> DataFrame:
     """``doc_id, text, _k``: null texts become empty, ``_k`` is a long that sorts like
     ``doc_id`` (nulls first).  Normally ``_k`` is ``doc_id`` itself; where a doc_id is null or
     repeated, ``_k`` is the dense rank of the distinct (doc_id, text hash): rows that repeat a
     doc_id *and* its text are one document listed twice, other texts are documents of their own.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
     twice = (base.select("doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
@@ -75,18 +85,17 @@ def chunks(col, limit: int = CHUNK_BYTES):
         lo = hi
 
 
-def chunk_groups(col, limit: int = GROUP_BYTES):
-    """Chunks in lists of about ``limit`` bytes: what one packed blob may cover at once, so that a
-    worker's memory doesn't depend on the size of Arrow batches."""
+def merged(batches, limit: int = GROUP_BYTES):
+    """Arrow batches joined to about ``limit`` bytes: how much text one packed blob covers."""
     held, size = [], 0
-    for c in chunks(col):
-        held.append(c)
-        size += len(c[1])
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
         if size >= limit:
-            yield held
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             held, size = [], 0
-    if held:
-        yield held
+    if size and any(b.num_rows for b in held):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def mix(x: np.ndarray) -> np.ndarray:

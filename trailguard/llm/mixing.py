@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trailguard.llm.common import WORD, materialize, ship_package
+from trailguard.llm.common import WORD, materialize, prepare
 from trailguard.operators.numbering import number_rows
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -120,7 +120,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, max_epochs: int = 3, seed: int
     takes 0; null doc_ids are kept; repeated rows are documents of their own; an empty table, or
     one without words, gives zeros.  The same rows give the same mix on every run and layout.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     sized = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), *keep,
                         F.col("source").cast("string").alias("_source"),
                         F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"))

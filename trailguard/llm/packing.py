@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailguard.llm.common import as_batch, materialize, ship_package
+from trailguard.llm.common import as_batch, materialize, merged, prepare
 from trailguard.llm.tokenizing import encoded, encoder
 
 GROUP_ITEMS = 20_000
@@ -63,7 +63,7 @@ def _pieces(path: str, end_id: int, capacity: int, with_ids: bool):
     def run(batches):
         enc = encoder(path)
         end = np.array([end_id], "<u4").tobytes()
-        for b in batches:
+        for b in merged(batches):
             docs = b.column("doc_id")
             for lo, ids, off in encoded(enc, b.column("text")):
                 raw, out = ids.tobytes(), []
@@ -121,7 +121,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, e
     id); repeated rows are packed one by one; null doc_ids are kept; other columns are ignored;
     an empty table gives an empty result.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
     pieces = materialize(base.mapInArrow(

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailguard.llm.common import (U64, Rolling, as_batch, chunks, mix, ship_package, words_of)
+from trailguard.llm.common import (U64, Rolling, as_batch, chunks, mix, prepare, words_of)
 
 BYTES, WORDS = Rolling(41), Rolling(42)
 SYMBOLS = np.zeros(256, bool)
@@ -214,7 +214,7 @@ def score_quality(docs: DataFrame, rules=RULES, sample_rows: int = 2000) -> Data
     """Per document doc_id, the base measures, base_failed and kept (passed the base and every
     rule).  Null text has no words and fails the base; every row is judged on its own, so
     repeated rows agree; other columns are ignored; an empty table gives an empty result."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
     ordered = order_rules(rules, _sample(base, sample_rows))
@@ -234,6 +234,6 @@ def _passing(rules, text_at: str):
 
 def filter_quality(docs: DataFrame, rules=BASE + RULES, sample_rows: int = 2000) -> DataFrame:
     """The rows of ``docs``, all columns unchanged, whose text passes every rule."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     ordered = order_rules(rules, _sample(docs.select(F.coalesce("text", F.lit("")).alias("text")), sample_rows))
     return docs.mapInArrow(_passing(ordered, "text"), docs.schema)

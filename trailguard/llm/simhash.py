@@ -23,8 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailguard.llm.common import (U64, as_batch, as_table, bucket_count, materialize, mix, pack, ranges,
-                                   ship_package, slices, unpack)
+from trailguard.llm.common import (U64, as_batch, as_table, bucket_count, materialize, merged, mix, pack, prepare, ranges,
+                                   slices, unpack)
 from trailguard.llm.components import components
 
 RADIUS = 3
@@ -35,6 +35,7 @@ SEED = 42
 _BITS = np.array([1 << i for i in range(64)], np.uint64)
 _TRIPLES = np.array([sum(1 << i for i in c) for c in combinations(range(GROUP_BITS), 3)], np.uint64)
 FLUSH = 200_000
+FINGERPRINTS_AT_ONCE = 8000
 
 
 def _bits_over_half(hashes: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -101,10 +102,10 @@ def _unrotated(x: np.ndarray, group: int) -> np.ndarray:
 
 def _variants(buckets: int):
     def run(batches):
-        for b in batches:
+        for b in merged(batches, 8 * FINGERPRINTS_AT_ONCE):
             fp = b.column("fp").to_numpy().view(np.uint64)
-            for lo in range(0, len(fp), 4000):
-                some, out = fp[lo: lo + 4000], []
+            for lo in range(0, len(fp), FINGERPRINTS_AT_ONCE):
+                some, out = fp[lo: lo + FINGERPRINTS_AT_ONCE], []
                 for g in range(GROUPS):
                     y = _rotated(some, g)
                     flips = np.concatenate((_BITS[GROUP_BITS:], [U64(0)]))
@@ -184,7 +185,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     reach, the own included (null only where all of them are null).  Repeated rows return one row
     each; other columns are ignored; an empty table gives an empty result.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
     n = bucket_count(base)

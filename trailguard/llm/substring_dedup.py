@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from trailguard.llm.common import (
-    U64, Rolling, as_batch, bucket_count, chunks, deltas, keyed_documents, pack, packed_keys,
+    U64, Rolling, as_batch, bucket_count, chunks, deltas, keyed_documents, merged, pack, packed_keys,
     ranges, run_ids, slices, small, to_shards, unpack, with_found, words_of)
 
 PERIOD = 13
@@ -54,7 +54,7 @@ def _anchors(buckets: int, length: int):
     on_cover[list(COVER)] = True
 
     def run(batches):
-        for b in batches:
+        for b in merged(batches):
             keys = b.column("_k").to_numpy()
             parts = []
             for lo, data, off in chunks(b.column("text")):
@@ -122,7 +122,7 @@ def _repeated(buckets: int):
 def _windows(buckets: int, length: int):
     """Map side of step 2: whole-window hashes of candidates."""
     def run(batches):
-        for b in batches:
+        for b in merged(batches):
             keys, found = b.column("_k").to_numpy(), b.column("blob")
             parts = []
             for lo, data, off in chunks(b.column("text")):

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from trailguard.llm.common import (
-    SHARDS, U64, Rolling, as_batch, as_table, bucket_count, chunk_groups, chunks, deltas, keyed_documents, pack, packed_keys,
+    SHARDS, U64, Rolling, as_batch, as_table, bucket_count, chunks, deltas, keyed_documents, merged, pack, packed_keys,
     ranges, run_ids, slices, small, to_shards, unpack, with_found)
 from trailguard.llm.substring_dedup import BLOBS
 
@@ -90,51 +90,50 @@ def _entries(keys, row, *arrays):
 def _samples(buckets: int, length: int, hot_in_batch: int):
     """Map side of step 2."""
     def run(batches):
-        for b in batches:
+        for b in merged(batches):
             keys = b.column("_k").to_numpy()
-            for group in chunk_groups(b.column("text")):
-                parts = []
-                for lo, data, off in group:
-                    got = _sampled(data, off, length)
-                    if got is not None:
-                        parts.append((got[0] + lo, *got[1:]))
-                if not parts:
-                    continue
-                row, start, count, lead, name, ctx = (np.concatenate(x) for x in zip(*parts))
-                # a row listed twice is one document: the same place must not count twice
-                order = np.lexsort((start, keys[row], ctx, name))
-                row, start, count, lead, name, ctx = (x[order] for x in (row, start, count, lead, name, ctx))
-                same = np.zeros(len(row), bool)
-                k = keys[row]
-                same[1:] = (k[1:] == k[:-1]) & (start[1:] == start[:-1]) & (name[1:] == name[:-1])
-                row, start, count, lead, name, ctx = (x[~same] for x in (row, start, count, lead, name, ctx))
-                run_c, run_n = run_ids(name, ctx), run_ids(name)
-                head = np.zeros(len(row), bool)
-                head[np.unique(run_c, return_index=True)[1]] = True
-                full = (np.bincount(run_c) > 1)[run_c]
-                hot = (np.bincount(run_n, weights=head) >= hot_in_batch)[run_n]
-                out = []
-                direct = full | (hot & head)
-                if direct.any():
-                    r, kind = row[direct], np.where(full[direct], FULL, HOT)
-                    extra = np.flatnonzero(hot & head & full)      # hot repeats also speak for their context
-                    r = np.concatenate((r, row[extra]))
-                    kind = np.concatenate((kind, np.full(len(extra), HOT)))
-                    sel = np.concatenate((np.flatnonzero(direct), extra))
-                    out.append((buckets + int(keys[r[0]]) % buckets,
-                                _entries(keys, r, small(start[sel]), small(count[sel]), small(lead[sel]),
-                                         name[sel], kind.astype(np.uint8))))
-                # sent: each context once; of a hot name only one entry that says so (flag 2)
-                lead_of_name = np.zeros(len(row), bool)
-                lead_of_name[np.unique(run_n, return_index=True)[1]] = True
-                sent = (head & ~hot) | (lead_of_name & hot)
-                flag = (full.astype(np.uint8) | (hot.astype(np.uint8) << 1))[sent]
-                row, start, count, lead, name, ctx = (x[sent] for x in (row, start, count, lead, name, ctx))
-                for bucket, s, e in slices(ranges(name, buckets)):
-                    out.append((bucket, _entries(keys, row[s:e], small(start[s:e]), small(count[s:e]),
-                                                 small(lead[s:e]), deltas(name[s:e]), ctx[s:e], flag[s:e])))
-                if out:
-                    yield as_batch(BLOBS, *zip(*out))
+            parts = []
+            for lo, data, off in chunks(b.column("text")):
+                got = _sampled(data, off, length)
+                if got is not None:
+                    parts.append((got[0] + lo, *got[1:]))
+            if not parts:
+                continue
+            row, start, count, lead, name, ctx = (np.concatenate(x) for x in zip(*parts))
+            # a row listed twice is one document: the same place must not count twice
+            order = np.lexsort((start, keys[row], ctx, name))
+            row, start, count, lead, name, ctx = (x[order] for x in (row, start, count, lead, name, ctx))
+            same = np.zeros(len(row), bool)
+            k = keys[row]
+            same[1:] = (k[1:] == k[:-1]) & (start[1:] == start[:-1]) & (name[1:] == name[:-1])
+            row, start, count, lead, name, ctx = (x[~same] for x in (row, start, count, lead, name, ctx))
+            run_c, run_n = run_ids(name, ctx), run_ids(name)
+            head = np.zeros(len(row), bool)
+            head[np.unique(run_c, return_index=True)[1]] = True
+            full = (np.bincount(run_c) > 1)[run_c]
+            hot = (np.bincount(run_n, weights=head) >= hot_in_batch)[run_n]
+            out = []
+            direct = full | (hot & head)
+            if direct.any():
+                r, kind = row[direct], np.where(full[direct], FULL, HOT)
+                extra = np.flatnonzero(hot & head & full)      # hot repeats also speak for their context
+                r = np.concatenate((r, row[extra]))
+                kind = np.concatenate((kind, np.full(len(extra), HOT)))
+                sel = np.concatenate((np.flatnonzero(direct), extra))
+                out.append((buckets + int(keys[r[0]]) % buckets,
+                            _entries(keys, r, small(start[sel]), small(count[sel]), small(lead[sel]),
+                                     name[sel], kind.astype(np.uint8))))
+            # sent: each context once; of a hot name only one entry that says so (flag 2)
+            lead_of_name = np.zeros(len(row), bool)
+            lead_of_name[np.unique(run_n, return_index=True)[1]] = True
+            sent = (head & ~hot) | (lead_of_name & hot)
+            flag = (full.astype(np.uint8) | (hot.astype(np.uint8) << 1))[sent]
+            row, start, count, lead, name, ctx = (x[sent] for x in (row, start, count, lead, name, ctx))
+            for bucket, s, e in slices(ranges(name, buckets)):
+                out.append((bucket, _entries(keys, row[s:e], small(start[s:e]), small(count[s:e]),
+                                             small(lead[s:e]), deltas(name[s:e]), ctx[s:e], flag[s:e])))
+            if out:
+                yield as_batch(BLOBS, *zip(*out))
     return run
 
 
@@ -191,7 +190,7 @@ def _named(buckets: int, hot_in_shard: int):
 def _tuples(buckets: int, length: int):
     """Map side of step 3: what is settled passes by; tuples of the rest carry their text."""
     def run(batches):
-        for b in batches:
+        for b in merged(batches):
             keys, found = b.column("_k").to_numpy(), b.column("blob")
             settled, items, texts, whole = [], [], [], []
             done = set()

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trailguard.llm.common import as_batch, scratch_path, ship_package
+from trailguard.llm.common import as_batch, merged, prepare, scratch_path
 from trailguard.llm.tokenizing import encoded, encoder
 
 BLOCK_IDS = 16_384
@@ -82,7 +82,7 @@ def _write(path: str, end_id: int, planes: str):
             payload, sizes = shuffle_planes(np.concatenate(held), planes)
             return as_batch(CHUNKS, [part], [chunk], [n], [len(docs)], [docs], [lens], [sizes], [payload])
 
-        for b in batches:
+        for b in merged(batches):
             ids_of = b.column("doc_id").to_pylist()
             for lo, ids, off in encoded(enc, b.column("text")):
                 m = len(off) - 1
@@ -111,7 +111,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
     """Write the ids of all documents in ascending doc_id order (nulls first; equal doc_ids by
     text hash) under ``path``.  Null text counts as empty; every text ends with ``end_id``."""
     spark = docs.sparkSession
-    ship_package(spark)
+    prepare(spark)
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
     # as many ranges as input partitions: a range is about the size of an input split

@@ -22,8 +22,8 @@ _LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ɏ"
 _PLAIN = re.compile(rf"([{_LETTERS}]+)([!-&(-/:-@\[-`{{-~]*)\Z")
 #: What may follow the space of a cut.
 _SAFE = re.compile("[!-~À-ɏ]")
-CACHE_STEMS = 500_000
-SLICE_BYTES = 16 << 20
+CACHE_STEMS = 350_000
+SLICE_BYTES = 8 << 20
 _LOADED: dict = {}
 
 

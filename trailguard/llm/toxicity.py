@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailguard.llm.common import as_batch, ship_package
+from trailguard.llm.common import as_batch, prepare
 
 #: Characters that look like or stand for a letter.
 LOOKALIKE = {
@@ -153,7 +153,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, train, max_labelled: int = 5
                 max_exceptions: int = 500, min_toxic: int = 3, min_weight: float = 2.0) -> Lexicon:
     """Learn terms, weights, exceptions and the final step from labelled documents for which the
     column condition ``train`` (on doc_id) holds.  Without toxic examples the lexicon is empty."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     rows = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("bigint").alias("toxic")) \
         .where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).where(train) \
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id")).limit(max_labelled)
@@ -206,7 +206,7 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """doc_id and score of every document.  Null and empty texts score like texts without a
     match; every row is scored on its own; other columns are ignored; an empty table gives an
     empty result."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
     return base.mapInArrow(_score(lexicon), "doc_id bigint, score double")
