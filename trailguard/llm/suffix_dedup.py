@@ -33,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from trailguard.llm.common import (
-    SHARDS, U64, Rolling, as_batch, as_table, bucket_count, chunks, deltas, keyed_documents, merged, pack, packed_keys,
+    SHARDS, U64, Rolling, as_batch, as_table, bucket_count, chunks, deltas, keyed_documents, merged, mix, pack,
+    packed_keys,
     ranges, run_ids, slices, small, to_shards, unpack, with_found)
 from trailguard.llm.substring_dedup import BLOBS
 
@@ -79,7 +80,8 @@ def _sampled(data, off, length):
     lead = a - start
     from_, to = start, start + count - 1 + length
     ctx = BYTES.span(c, from_, to) + (lead.astype(np.uint64) << U64(32) | count.astype(np.uint64)) * U64(0x9E3779B97F4A7C15)
-    return rows, start - off[:-1][rows], count, lead, h[a], ctx
+    # sampled hashes are all small; mixed again they spread over the whole hash range
+    return rows, start - off[:-1][rows], count, lead, mix(h[a]), ctx
 
 
 def _entries(keys, row, *arrays):
