@@ -1,0 +1,36 @@
+"""The pipeline stage by stage against plain Python."""
+
+import brute
+import corpus_pipeline as P
+
+
+def test_stages(spark, docs):
+    rows, df = docs
+    text = {r[0]: r[1] for r in rows}
+    a = P.quality_rules(spark, df, "").cache()
+    kept = {r.doc_id: r.text for r in a.collect()}
+    assert all(not brute.quality(t)[-1] and text[d] == t for d, t in kept.items())
+    b = P.simhash_near_dedup(spark, a, "").cache()
+    near = brute.near_groups(sorted(kept.items()))
+    assert sorted(r.doc_id for r in b.collect()) == sorted({c for _, c in near.values()})
+    c = P.suffix_array_dedup(spark, b, "").cache()
+    want = brute.suffixes([(r.doc_id, r.text) for r in b.collect()])
+    got = {r.doc_id: r for r in c.collect()}
+    for d, (n, removed, _, _) in want.items():
+        if d in got:
+            assert len(got[d].text.encode()) <= n - removed and got[d].n_chars == len(got[d].text)
+        else:
+            assert removed > 0
+    d = P.mix_to_targets(spark, c, "").cache()
+    assert d.columns == c.columns == P.COLUMNS
+    assert set(d.toPandas().doc_id.value_counts()) <= {1, 2, 3}
+    e = P.best_fit_packing(spark, d, "")
+    assert e.groupBy("sequence_id").sum("length").where("`sum(length)` > 1024").count() == 0
+    assert e.where("piece = 0").count() == d.count()
+
+
+def test_simhash_stage_keeps_one_of_repeated_rows(spark):
+    t = " ".join(f"word{i}" for i in range(40))
+    df = spark.createDataFrame([(1, t), (1, t), (2, t)], "doc_id bigint, text string") \
+        .selectExpr("*", "'en' lang", "'s' source", "1L n_chars")
+    assert [r.doc_id for r in P.simhash_near_dedup(spark, df, "").collect()] == [1]
