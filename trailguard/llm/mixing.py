@@ -68,8 +68,9 @@ def _source_seats(sources: DataFrame, seats: int) -> DataFrame:
     for _ in range(12):
         probes = [lo + (hi - lo) * i / PROBES for i in range(1, PROBES)]
         sums = sources.agg(*[F.sum(got(F.lit(p))).alias(f"p{i}") for i, p in enumerate(probes)]).first()
-        below = [p for p, s in zip(probes, sums) if (s or 0) <= seats]
-        above = [p for p, s in zip(probes, sums) if (s or 0) > seats]
+        sums = [s or 0 for s in sums]           # no sources, no sums
+        below = [p for p, s in zip(probes, sums) if s <= seats]
+        above = [p for p, s in zip(probes, sums) if s > seats]
         lo, hi = max([lo, *below]), min([hi, *above])
         if hi - lo <= 1e-15 * hi or (below and max(s for s in sums if s <= seats) == seats):
             break
