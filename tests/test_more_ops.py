@@ -1,11 +1,12 @@
 """Snapshot join nulls (Q12), daily state mode, hot-day numbering, partitioned day reads."""
 
 import datetime as dt
+import math
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from trailguard.operators import ledger
+from trailguard.operators import features, ledger
 from trailguard.sources import files
 from trailguard.streaming import pipeline as P
 from trailguard.streaming import state
@@ -89,3 +90,30 @@ def test_combine_edges_counts_shared_edges_once(spark):
     s = spark.createDataFrame([("a", "b", dt.date(2022, 9, 1), 1), ("c", "a", dt.date(2022, 9, 2), 1)], cols)
     got = {(r.src, r.dst): (r.in_batch, r.in_stream) for r in graph.combine_edges(b, s).collect()}
     assert got == {("a", "b"): (True, True), ("a", "c"): (True, False), ("c", "a"): (False, True)}
+
+
+def _edges(spark, rows):
+    return spark.createDataFrame([("a", "b", i, x, dt.date(2022, 9, day)) for i, (x, day) in enumerate(rows)],
+                                 "src string, dst string, txn_id long, amount_paid double, run_date date")
+
+
+def test_money_is_not_cut(spark):
+    """Sub-cent, huge, NaN, infinite and missing amounts keep the mean of doubles."""
+    e = _edges(spark, [(0.00000001, 1), (0.004, 1), (1e17, 11), (2e17, 11), (float("nan"), 21), (1.0, 21),
+                       (1e300, 26), (None, 26)])
+    t = {r.anchor.day: r for r in features.history_and_today(e)[1].collect()}
+    assert t[1].today_avg == 0.00400001 / 2
+    assert t[11].today_avg == 1.5e17
+    assert math.isnan(t[21].today_avg) and t[21].today_tx == 2
+    assert (t[26].today_avg, t[26].today_tx) == (1e300, 2)     # a missing amount has no part in the mean
+    missing = features.history_and_today(_edges(spark, [(None, 1)]))[1].first()
+    assert (missing.today_tx, missing.today_avg) == (1, None)
+
+
+def test_running_money_keeps_ten_decimals(spark):
+    rows = [(i, 1, "x", f"t{i}", x, dt.datetime(2022, 9, 1, 0, i), dt.date(2022, 9, 1), "", "2022-09-01")
+            for i, x in enumerate([0.0000000001, 123456789012.25, 0.0000000002])]
+    ev = spark.createDataFrame(rows, "txn_id long, from_bank long, from_acc string, to_acc string, amount_paid double, "
+                                     "event_ts timestamp, event_date date, ts string, run_date string")
+    got = [r.today_avg for r in state.running_stats_batch(ev).orderBy("txn_id").collect()]
+    assert got == [0.0000000001, 123456789012.2500000001 / 2, 123456789012.2500000003 / 3]

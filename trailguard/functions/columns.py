@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 EPSILON = 1e-6            # guard added to every ratio denominator
 SMALL_AMOUNT = 10000.0    # "small transaction" / smurfing gate threshold
 WINDOW_DAYS = 5           # look-back of every rolling window, in days
-MONEY_SCALE = 2           # decimal places of money sums
+
+# Own choice: sums keep ten decimal places of amounts below 1e18; see money_sum.
+MONEY_TYPE = "decimal(28,10)"
 
 
 def account_key(bank, account) -> Column:
@@ -31,29 +33,32 @@ def ratio(num: Column, den: Column, eps: float = EPSILON) -> Column:
     return num.cast("double") / (den.cast("double") + F.lit(eps))
 
 
-def money(c, scale: int = MONEY_SCALE) -> Column:
-    """Money as DECIMAL so that sums are exact and independent of summation order."""
+def money(c) -> Column:
+    """Money as DECIMAL so that sums are exact and independent of summation order; NULL for
+    what DECIMAL can't hold (NaN, infinities, 1e18 and above)."""
     col = F.col(c) if isinstance(c, str) else c
-    return col.cast(f"decimal(18,{scale})")
-
+    return col.try_cast(MONEY_TYPE)
 
-def cents(c, scale: int = MONEY_SCALE) -> Column:
-    """Money as an exact integer number of 10**-scale units (the DECIMAL(18, scale) value).
 
-    Sums of these BIGINTs are exact and run on primitive longs (a DECIMAL(18,2) sum widens to
-    DECIMAL(28,2), which Spark evaluates with BigDecimal)."""
-    return (money(c, scale) * (10 ** scale)).cast("bigint")
+def money_aggs(c) -> dict[str, Column]:
+    """Partial aggregates of an amount: ``amt`` (exact sum), ``odd`` (double sum of the amounts
+    DECIMAL can't hold, NULL without any) and ``paid`` (amounts that are not NULL)."""
+    col = F.col(c) if isinstance(c, str) else c
+    return {"amt": F.sum(money(col)),
+            "odd": F.sum(F.when(money(col).isNull(), col.cast("double"))),
+            "paid": F.count(col)}
 
 
-def mean_of(sum_col: Column, count_col: Column) -> Column:
-    """Average from an exact DECIMAL sum and a count: ``CAST(sum AS DOUBLE) / count``."""
-    return sum_col.cast("double") / count_col.cast("double")
+def merge_money() -> dict[str, Column]:
+    """The same aggregates from partial ones."""
+    return {"amt": F.sum("amt"), "odd": F.sum("odd"), "paid": F.sum("paid")}
 
 
-def mean_of_cents(sum_cents: Column, count_col: Column, scale: int = MONEY_SCALE) -> Column:
-    """Same double as ``CAST(sum(DECIMAL) AS DOUBLE) / count``: the exact sum is an integer
-    below 2**53, so ``sum / 10**scale`` in double is the correctly rounded decimal value."""
-    return (sum_cents.cast("double") / F.lit(float(10 ** scale))) / count_col.cast("double")
+def mean_of_money() -> Column:
+    """Mean of the amounts that are not NULL: ``(double(amt) + odd) / paid``; NULL without any.
+    A NaN or infinite amount makes its group's mean NaN or infinite, as a mean of doubles does."""
+    total = (F.coalesce(F.col("amt").cast("double"), F.lit(0.0)) + F.coalesce("odd", F.lit(0.0)))
+    return F.when(F.col("paid") > 0, total / F.col("paid").cast("double"))
 
 
 def date_text(c) -> Column:

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trailguard.functions.columns import (EPSILON, SMALL_AMOUNT, WINDOW_DAYS, cents, date_text,
-                                          mean_of_cents as mean_of, ratio)
+from trailguard.functions.columns import (EPSILON, SMALL_AMOUNT, WINDOW_DAYS, date_text,
+                                          mean_of_money, merge_money, money_aggs, ratio)
 from trailguard.operators.windows import anchor_dates, to_anchors
 
 
+def named(aggs: dict) -> list:
+    return [c.alias(n) for n, c in aggs.items()]
+
+
 def edges_of(ledger: DataFrame) -> DataFrame:
     """Ledger rows as directed edges ``src -> dst`` (already bank-qualified keys)."""
     return ledger.select(F.col("from_acc").alias("src"), F.col("to_acc").alias("dst"),
@@ -17,25 +21,25 @@ def edges_of(ledger: DataFrame) -> DataFrame:
 
 
 def daily_targets(edges: DataFrame, threshold: float = SMALL_AMOUNT) -> DataFrame:
-    """One row per (src, day, dst): count, exact money sum, small-amount count.
+    """One row per (src, day, dst): count, money aggregates, small-amount count.
 
     This is the map-side pre-aggregation every window below starts from.
     """
     return edges.groupBy("src", "run_date", "dst").agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(cents("amount_paid")).alias("amt"),
+        *named(money_aggs("amount_paid")),
         F.count_if(F.col("amount_paid") < threshold).alias("small"))
 
 
 def window_stats(daily: DataFrame, anchors: DataFrame, days: int = WINDOW_DAYS,
                  include_anchor: bool = True) -> DataFrame:
-    """(src, anchor) -> tx_count, amt (decimal sum), unique_targets, small_tx over the window."""
+    """(src, anchor) -> tx_count, money aggregates, unique_targets, small_tx over the window."""
     w = to_anchors(daily, anchors, "run_date", days, include_anchor)
     per_target = w.groupBy("src", "anchor", "dst").agg(
-        F.sum("n").alias("n"), F.sum("amt").alias("amt"), F.sum("small").alias("small"))
+        F.sum("n").alias("n"), *named(merge_money()), F.sum("small").alias("small"))
     return per_target.groupBy("src", "anchor").agg(
         F.sum("n").cast("bigint").alias("tx_count"),
-        F.sum("amt").alias("amt"),
+        *named(merge_money()),
         F.count(F.lit(1)).alias("unique_targets"),
         F.sum("small").cast("bigint").alias("small_tx"))
 
@@ -45,7 +49,7 @@ def tx_stats(edges: DataFrame, anchors: DataFrame | None = None, days: int = WIN
     anchors = anchors if anchors is not None else anchor_dates(edges)
     s = window_stats(daily_targets(edges), anchors, days, include_anchor=True)
     return s.select(F.col("src").alias("account_id"), F.col("anchor").alias("anchor_date"),
-                    F.col("tx_count"), mean_of(F.col("amt"), F.col("tx_count")).alias("avg_amount"),
+                    F.col("tx_count"), mean_of_money().alias("avg_amount"),
                     F.col("unique_targets").cast("bigint").alias("unique_targets"))
 
 
@@ -78,15 +82,15 @@ def history_and_today(edges: DataFrame, anchors: DataFrame | None = None, days:
     history = h.select(
         F.col("src").alias("account_id"), F.col("anchor"),
         F.col("tx_count").alias("feature_tx_count"),
-        mean_of(F.col("amt"), F.col("tx_count")).alias("feature_avg_amount"),
+        mean_of_money().alias("feature_avg_amount"),
         F.col("unique_targets").cast("bigint").alias("feature_unique_targets"),
         F.col("small_tx").alias("feature_small_tx"))
     t = (daily.join(anchors.select(F.col("anchor").alias("run_date")), "run_date", "left_semi")
          .groupBy("src", "run_date").agg(F.sum("n").cast("bigint").alias("today_tx"),
-                                         F.sum("amt").alias("amt"),
+                                         *named(merge_money()),
                                          F.count(F.lit(1)).alias("today_targets")))
     today = t.select(F.col("src").alias("account_id"), F.col("run_date").alias("anchor"),
-                     "today_tx", mean_of(F.col("amt"), F.col("today_tx")).alias("today_avg"),
+                     "today_tx", mean_of_money().alias("today_avg"),
                      F.col("today_targets").cast("bigint").alias("today_targets"))
     return history, today
 

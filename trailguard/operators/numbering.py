@@ -19,6 +19,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trailguard.session import materialize, stash
 
@@ -71,6 +72,13 @@ def prefix_sums(df: DataFrame, values: dict, by: Sequence[str], order: Sequence[
     off = tot.select("_ps_part", *by, *[F.coalesce(F.sum(f"_ps_tot_{k}").over(w), F.lit(0))
                                           .alias(f"_ps_off_{k}") for k in values])
     out = loc.join(off, ["_ps_part", *by])
-    out = out.withColumns({k: F.col(f"_ps_loc_{k}") + F.col(f"_ps_off_{k}") for k in values})
+
+    def addend(name):
+        # one digit narrower than DECIMAL(38, s): the sum of two then keeps its scale
+        t = out.schema[name].dataType
+        wide = isinstance(t, T.DecimalType) and t.precision == 38
+        return F.col(name).cast(T.DecimalType(37, t.scale)) if wide else F.col(name)
+
+    out = out.withColumns({k: addend(f"_ps_loc_{k}") + addend(f"_ps_off_{k}") for k in values})
     return out.drop("_ps_part", *[f"_ps_{k}" for k in values], *[f"_ps_loc_{k}" for k in values],
                     *[f"_ps_off_{k}" for k in values])

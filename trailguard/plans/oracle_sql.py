@@ -38,7 +38,8 @@ def with_ledger(body: str, *ctes: str) -> str:
 
 
 def money_avg(col: str) -> str:
-    return f"CAST(sum(CAST({col} AS DECIMAL(18,2))) AS DOUBLE) / count(*)"
+    # the exact sum becomes a double by way of its digits, which rounds once
+    return f"CAST(CAST(sum(CAST({col} AS DECIMAL(28,10))) AS VARCHAR) AS DOUBLE) / count({col})"
 
 
 HISTORY = f"""hist AS (
