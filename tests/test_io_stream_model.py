@@ -27,7 +27,8 @@ def test_raw_csv_duplicate_headers_and_bad_timestamp(spark, tmp_path):
     assert (g[0]["From Account"], g[0]["To Account"]) == ("ACCT-7", "ACCT-9")
     assert g[1]["From Account"] == g[1]["To Account"]          # self-transfer, currency change
     assert g[0]["ts"] == dt.datetime(2022, 9, 18, 1, 18)
-    assert [r.error for r in bad.collect()] == ["bad timestamp"]
+    assert [tuple(r) for r in bad.select("error", "original").collect()] == [
+        ("bad timestamp", "not a time,1,A,2,B,1.0,Euro,1.0,Euro,ACH,0")]   # the whole line
 
 
 def test_decode_cases(spark):
@@ -120,6 +121,24 @@ def test_forest_properties(spark):
     assert 0.005 <= share <= 0.02                              # about the contamination
 
 
+def test_percentile_is_exact(spark):
+    values = np.random.default_rng(5).normal(size=4001).round(2)         # many ties
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double").repartition(5)
+    for q in (0.0, 0.01, 0.5, 0.987, 1.0):
+        assert abs(model.percentile(df, "x", q) - np.quantile(values, q)) < 1e-12
+    assert np.isnan(model.percentile(df.where("x is null"), "x", 0.01))
+
+
+def test_every_row_can_enter_a_tree(spark):
+    n = 60_000
+    df = spark.range(n).select(F.col("id").cast("string").alias("k"))
+    s = model.sample_for_trees(df, ["k"], n, n_trees=20, sample=256)
+    sizes = {r.tree_id: r["count"] for r in s.groupBy("tree_id").count().collect()}
+    assert sizes == {t: 256 for t in range(20)}
+    # independent draws: 20 x 256 rows share few documents, as 5,120 draws of 60,000 would
+    assert s.select("k").distinct().count() > 4_600
+
+
 def test_scaler_matches_numpy(spark):
     df = _toy_features(spark, n=500)
     stats = model.fit_scaler(df).first()

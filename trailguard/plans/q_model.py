@@ -25,11 +25,15 @@ def _rolling_full(spark, sf_dir):
     return features.with_round_trips(features.rolling_features(e), cycles.round_trips(e))
 
 
-def trained_model(spark, sf_dir) -> model.Forest:
+def model_path(spark, sf_dir) -> str:
     """The forest trained on the rolling features, fitted and saved once per session."""
     def build(path):
         model.save_model(model.fit_forest(_rolling(spark, sf_dir)), path)
-    return model.load_model(spark, memo_path(spark, sf_dir, "iforest", build))
+    return memo_path(spark, sf_dir, "iforest", build)
+
+
+def trained_model(spark, sf_dir) -> model.Forest:
+    return model.load_model(spark, model_path(spark, sf_dir))
 
 
 @register("model_features", O.with_ledger(
@@ -98,10 +102,8 @@ def iforest_score(spark, sf_dir):
 
 @register("anomaly_threshold")
 def anomaly_threshold(spark, sf_dir):
-    """The contamination offset of the trained model."""
-    m = trained_model(spark, sf_dir)
-    return spark.range(1).select(F.lit(m.offset).alias("offset"),
-                                 F.lit(m.sample_size).alias("sample_size"))
+    """The contamination offset, from the saved model table."""
+    return spark.read.parquet(f"{model_path(spark, sf_dir)}/meta").select("offset", "sample_size")
 
 
 @register("anomalies")
@@ -111,10 +113,16 @@ def anomalies(spark, sf_dir):
     return s.where("is_anomaly")
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", O.with_ledger(
+    "SELECT account_id, feature_date, true AS same_score FROM rolling", O.HISTORY, O.TODAY, O.FEATURES))
 def model_roundtrip(spark, sf_dir):
-    """Save, load, score again."""
+    """Save, load, score every row with both; equal scores are flagged row by row."""
     m = trained_model(spark, sf_dir)
     path = scratch_path(spark, "model-copy")
     model.save_model(m, path)
-    return model.score_forest(_rolling(spark, sf_dir), model.load_model(spark, path))
+    copy = model.load_model(spark, path)
+    keys = ("account_id", "feature_date")
+    rows = model.model_features(_rolling(spark, sf_dir), m.cols, keep=keys)
+    both = model.score_samples(model.score_samples(rows, m).withColumnRenamed("score_samples", "_first"), copy)
+    return both.select(*keys, (F.col("_first") - m.offset == F.col("score_samples") - copy.offset)
+                       .alias("same_score"))

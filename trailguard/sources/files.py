@@ -34,7 +34,8 @@ CORRUPT = "_corrupt_record"
 def read_ledger_csv(spark: SparkSession, path: str,
                     schema: T.StructType = RAW_LEDGER_SCHEMA) -> tuple[DataFrame, DataFrame]:
     """A1 A2 B1: (good, bad).  Good rows get ``ts`` parsed with ``try_to_timestamp``; rows that
-    do not parse, miss a key field or have an unparsable timestamp go to ``bad`` with a reason."""
+    do not parse, miss a key field or have an unparsable timestamp go to ``bad`` with a reason and
+    the whole line (rendered anew from its fields where the line itself parsed)."""
     full = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     raw = (spark.read.schema(full).option("header", True).option("enforceSchema", True)
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path))
@@ -49,7 +50,8 @@ def read_ledger_csv(spark: SparkSession, path: str,
     good = df.where(F.col("_reason").isNull()).drop(CORRUPT, "_reason")
     bad = df.where(F.col("_reason").isNotNull()).select(
         F.col("_reason").alias("error"),
-        F.coalesce(F.col(CORRUPT), F.col("Timestamp")).alias("original"))
+        F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*[f.name for f in schema.fields])))
+        .alias("original"))
     return good, bad
 
 
