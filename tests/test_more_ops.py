@@ -117,3 +117,15 @@ def test_running_money_keeps_ten_decimals(spark):
                                      "event_ts timestamp, event_date date, ts string, run_date string")
     got = [r.today_avg for r in state.running_stats_batch(ev).orderBy("txn_id").collect()]
     assert got == [0.0000000001, 123456789012.2500000001 / 2, 123456789012.2500000003 / 3]
+
+
+def test_rolling_features_equal_joined_history_and_today(spark):
+    """One pass gives what the full outer join of both sides gives, nulls and NaN included."""
+    e = _edges(spark, [(1.5, 1), (float("nan"), 3), (None, 5), (20000.0, 5), (0.004, 12), (None, 20)])
+    h, t = features.history_and_today(e)
+    names = ["feature_tx_count", "feature_avg_amount", "feature_unique_targets", "feature_small_tx",
+             "today_tx", "today_avg", "today_targets"]
+    joined = h.join(t, ["account_id", "anchor"], "full").select(
+        F.col("anchor").cast("string"), *[F.coalesce(c, F.lit(0)).alias(c) for c in names])
+    got = features.rolling_features(e).select("feature_date", *names)
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, joined.collect())))

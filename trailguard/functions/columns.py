@@ -49,16 +49,17 @@ def money_aggs(c) -> dict[str, Column]:
             "paid": F.count(col)}
 
 
-def merge_money() -> dict[str, Column]:
+def merge_money(prefix: str = "") -> dict[str, Column]:
     """The same aggregates from partial ones."""
-    return {"amt": F.sum("amt"), "odd": F.sum("odd"), "paid": F.sum("paid")}
+    return {prefix + c: F.sum(prefix + c) for c in ("amt", "odd", "paid")}
 
 
-def mean_of_money() -> Column:
+def mean_of_money(prefix: str = "") -> Column:
     """Mean of the amounts that are not NULL: ``(double(amt) + odd) / paid``; NULL without any.
     A NaN or infinite amount makes its group's mean NaN or infinite, as a mean of doubles does."""
-    total = (F.coalesce(F.col("amt").cast("double"), F.lit(0.0)) + F.coalesce("odd", F.lit(0.0)))
-    return F.when(F.col("paid") > 0, total / F.col("paid").cast("double"))
+    amt, odd, paid = (F.col(prefix + c) for c in ("amt", "odd", "paid"))
+    total = F.coalesce(amt.cast("double"), F.lit(0.0)) + F.coalesce(odd, F.lit(0.0))
+    return F.when(paid > 0, total / paid.cast("double"))
 
 
 def date_text(c) -> Column:

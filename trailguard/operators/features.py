@@ -120,12 +120,29 @@ def derive(df: DataFrame, smurf_gate: float | None = None, eps: float = EPSILON)
 
 def rolling_features(edges: DataFrame, anchors: DataFrame | None = None, days: int = WINDOW_DAYS,
                      threshold: float = SMALL_AMOUNT, smurf_gate: float | None = None) -> DataFrame:
-    """Training features for every anchor day in one plan (C3 full outer join + fillna(0))."""
-    history, today = history_and_today(edges, anchors, days, threshold)
-    j = history.join(today, ["account_id", "anchor"], "full")
-    j = j.fillna(0, subset=["feature_tx_count", "feature_unique_targets", "feature_small_tx",
-                            "today_tx", "today_targets"]) \
-         .fillna(0.0, subset=["feature_avg_amount", "today_avg"])
+    """Training features for every anchor day in one plan (C3; 0 where a side has no rows).
+
+    Daily rows are spread over the anchors that see them, the anchor day included; a row of the
+    anchor day counts for today_*, any other for the history.  Both sides thus come from one
+    pass, without the full outer join of :func:`history_and_today`.
+    """
+    anchors = anchors if anchors is not None else anchor_dates(edges)
+    w = to_anchors(daily_targets(edges, threshold), anchors, "run_date", days, include_anchor=True)
+    sides = {"h_": F.col("run_date") < F.col("anchor"), "t_": F.col("run_date") == F.col("anchor")}
+    parts = ["n", "small", "amt", "odd", "paid"]
+    per_target = w.groupBy("src", "anchor", "dst").agg(
+        *[F.sum(F.when(side, F.col(c))).alias(p + c) for p, side in sides.items() for c in parts])
+    per_account = per_target.groupBy("src", "anchor").agg(
+        *[F.coalesce(F.sum(p + c), F.lit(0)).cast("bigint").alias(p + c) for p in sides for c in ("n", "small")],
+        *[F.count(p + "n").alias(p + "targets") for p in sides],
+        *[c for p in sides for c in named(merge_money(p))])
+    j = per_account.select(
+        F.col("src").alias("account_id"), "anchor",
+        F.col("h_n").alias("feature_tx_count"),
+        F.coalesce(mean_of_money("h_"), F.lit(0.0)).alias("feature_avg_amount"),
+        F.col("h_targets").alias("feature_unique_targets"), F.col("h_small").alias("feature_small_tx"),
+        F.col("t_n").alias("today_tx"), F.coalesce(mean_of_money("t_"), F.lit(0.0)).alias("today_avg"),
+        F.col("t_targets").alias("today_targets"))
     j = derive(j, smurf_gate).withColumns({
         "round_trip_combined": F.lit(0), "avg_round_trip_len": F.lit(0),
         "feature_date": date_text("anchor")})
