@@ -95,44 +95,42 @@ def edge_view(has: DataFrame, edges: DataFrame, from_date: str, to_date: str,
 
 def expand_paths(edges: DataFrame, seeds: DataFrame, min_len: int = 2, max_len: int = 3,
                  days: int = 5) -> DataFrame:
-    """Distinct node paths of the trails of length min_len..max_len (edges distinct, all
-    in the seed's window (anchor-days, anchor]) that start at each seed (account_id, anchor_date).
+    """The neighbourhood of each seed (account_id, anchor_date): the distinct (src, dst) on
+    trails of min_len..max_len edges (edges distinct, all in the seed's window
+    (anchor-days, anchor]) that start at the seed.
 
-    Parallel edges are handled by multiplicity: a walk is a trail when every (src, dst) pair
-    it repeats has at least as many parallel edges as uses.
+    Paths themselves are never built: each hop keeps the distinct accounts it reaches, so a hub
+    costs its edges once per seed, not once per path.  Only a first hop needs a look ahead: it is
+    on a trail of two when its end has an edge other than the one just used.
     """
-    if not (1 <= min_len <= max_len <= 3):
-        raise ValueError("path lengths 1..3 supported")
+    if not (1 <= min_len <= 2 <= max_len):
+        raise ValueError("min_len is 1 or 2, max_len 2 or more")
     anchors = seeds.select(F.col("anchor_date").alias("anchor")).distinct()
     per_day = edges.groupBy("src", "dst", "run_date").agg(F.count(F.lit(1)).alias("n"))
     pairs = to_anchors(per_day, anchors, "run_date", days, True) \
         .groupBy("src", "dst", "anchor").agg(F.sum("n").alias("n"))
-    s = seeds.select(F.col("account_id").alias("p0"), F.col("anchor_date").alias("anchor"))
-    step1 = s.join(pairs.select(F.col("src").alias("p0"), F.col("dst").alias("p1"), "anchor",
-                                F.col("n").alias("n1")), ["p0", "anchor"])
-    out = []
-    if min_len <= 1:
-        out.append(step1.select("p0", "anchor", F.array("p0", "p1").alias("nodes")))
-    step2 = step1.join(pairs.select(F.col("src").alias("p1"), F.col("dst").alias("p2"), "anchor",
-                                    F.col("n").alias("n2")), ["p1", "anchor"])
-    loop2 = (F.col("p0") == F.col("p1")) & (F.col("p1") == F.col("p2"))
-    step2 = step2.where(~loop2 | (F.col("n1") >= 2))
-    if min_len <= 2 <= max_len:
-        out.append(step2.select("p0", "anchor", F.array("p0", "p1", "p2").alias("nodes")))
-    if max_len >= 3:
-        step3 = step2.join(pairs.select(F.col("src").alias("p2"), F.col("dst").alias("p3"),
-                                        "anchor", F.col("n").alias("n3")), ["p2", "anchor"])
-        e12 = loop2
-        e23 = (F.col("p1") == F.col("p2")) & (F.col("p2") == F.col("p3"))
-        e13 = (F.col("p0") == F.col("p2")) & (F.col("p1") == F.col("p3"))
-        ok = (F.when(e12 & e23, F.col("n1") >= 3)
-              .when(e12 | e13, F.col("n1") >= 2)
-              .when(e23, F.col("n2") >= 2)
-              .otherwise(F.lit(True)))
-        step3 = step3.where(ok)
-        out.append(step3.select("p0", "anchor", F.array("p0", "p1", "p2", "p3").alias("nodes")))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res.select(F.col("p0").alias("account_id"), F.col("anchor").alias("anchor_date"),
-                      "nodes", (F.size("nodes") - 1).alias("length")).distinct()
+    s = seeds.select(F.col("account_id").alias("seed"), F.col("anchor_date").alias("anchor")).distinct()
+    first = s.join(pairs, [s.seed == pairs.src, s.anchor == pairs.anchor]).select(
+        "seed", s.anchor, "src", "dst", "n")
+    out_n = pairs.groupBy(F.col("src").alias("dst"), "anchor").agg(F.sum("n").alias("out_n"))
+    if min_len == 2:
+        goes_on = F.col("out_n") > F.when(F.col("src") == F.col("dst"), 1).otherwise(0)
+        kept = first.join(out_n, ["dst", "anchor"]).where(goes_on)
+    else:
+        kept = first
+    hops = [kept.select("seed", "anchor", "src", "dst")]
+    front = first
+    for hop in range(2, max_len + 1):
+        ends = front.select("seed", "anchor", F.col("dst").alias("src")).distinct() if hop > 2 else \
+            front.select("seed", "anchor", F.col("dst").alias("src"), F.col("n").alias("n1"))
+        step = ends.join(pairs, ["src", "anchor"])
+        if hop == 2:            # the seed's own loop can be walked twice only if there are two
+            once = (F.col("seed") == F.col("src")) & (F.col("src") == F.col("dst")) & (F.col("n1") < 2)
+            step = step.where(~once)
+        front = step.select("seed", "anchor", "src", "dst")
+        hops.append(front)
+    res = hops[0]
+    for h in hops[1:]:
+        res = res.unionByName(h)
+    return res.distinct().select(F.col("seed").alias("account_id"), F.col("anchor").alias("anchor_date"),
+                                 "src", "dst")

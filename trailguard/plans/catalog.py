@@ -55,6 +55,7 @@ def register(name: str, oracle: str | None = None):
 ANCHOR_DAY = "1999-03-10"
 SNAPSHOT_DAY = "1999-02-28"
 STREAM_FROM, STREAM_TO = "1999-03-01", "1999-03-31"
+REDELIVER_UNTIL = "1995-06-30"          # days the topic delivers twice
 DELETE_PREFIX = "1999-03"
 
 

@@ -117,40 +117,35 @@ def combined_edges(spark, sf_dir):
     return graph.combine_edges(e, s)
 
 
-def stream_seeds(ledger):
-    """Senders of the stream slice with the run_date of their events."""
-    return (ledger.where(F.col("run_date").between(F.to_date(F.lit(STREAM_FROM)),
-                                                   F.to_date(F.lit(STREAM_TO))))
-            .select(F.col("from_acc").alias("account_id"), F.col("run_date").alias("anchor_date"))
-            .distinct())
+def event_seeds(ledger):
+    """Every sender with the days of its events."""
+    return ledger.select(F.col("from_acc").alias("account_id"), F.col("run_date").alias("anchor_date")).distinct()
 
 
-PATHS = f"""seeds AS (
-  SELECT DISTINCT from_acc AS account_id, run_date AS anchor FROM ledger
-  WHERE run_date BETWEEN DATE '{STREAM_FROM}' AND DATE '{STREAM_TO}'),
+PATHS = """seeds AS (SELECT DISTINCT from_acc AS account_id, run_date AS anchor FROM ledger),
 pw AS (
   SELECT s.account_id AS seed, s.anchor, e.* FROM seeds s JOIN edges e
     ON e.run_date > s.anchor - 5 AND e.run_date <= s.anchor),
-paths AS (
-  SELECT DISTINCT e1.seed, e1.anchor, e1.src || '>' || e1.dst || '>' || e2.dst AS path, 2 AS length
+trails2 AS (
+  SELECT e1.seed, e1.anchor, e1.src AS a, e1.dst AS b, e2.dst AS c, e1.txn_id AS t1, e2.txn_id AS t2
   FROM pw e1 JOIN pw e2 ON e2.seed = e1.seed AND e2.anchor = e1.anchor AND e2.src = e1.dst
-  WHERE e1.src = e1.seed AND e1.txn_id <> e2.txn_id
-  UNION
-  SELECT DISTINCT e1.seed, e1.anchor, e1.src || '>' || e1.dst || '>' || e2.dst || '>' || e3.dst, 3
-  FROM pw e1 JOIN pw e2 ON e2.seed = e1.seed AND e2.anchor = e1.anchor AND e2.src = e1.dst
-  JOIN pw e3 ON e3.seed = e1.seed AND e3.anchor = e1.anchor AND e3.src = e2.dst
-  WHERE e1.src = e1.seed AND e1.txn_id <> e2.txn_id AND e2.txn_id <> e3.txn_id
-    AND e1.txn_id <> e3.txn_id)"""
+  WHERE e1.src = e1.seed AND e1.txn_id <> e2.txn_id),
+trails3 AS (
+  SELECT t.seed, t.anchor, t.c AS a, e3.dst AS b FROM trails2 t JOIN pw e3
+    ON e3.seed = t.seed AND e3.anchor = t.anchor AND e3.src = t.c
+  WHERE e3.txn_id <> t.t1 AND e3.txn_id <> t.t2),
+near AS (
+  SELECT seed, anchor, a, b FROM trails2 UNION SELECT seed, anchor, b, c FROM trails2
+  UNION SELECT seed, anchor, a, b FROM trails3)"""
 
 
 @register("path_expand", O.with_ledger(
-    "SELECT seed AS account_id, strftime(anchor, '%Y-%m-%d') AS anchor_date, path, length FROM paths",
+    "SELECT seed AS account_id, strftime(anchor, '%Y-%m-%d') AS anchor_date, a AS src, b AS dst FROM near",
     PATHS))
 def path_expand(spark, sf_dir):
-    """2..3-hop trails from every sender of the stream slice, window of its event day."""
+    """Edges on 2..3-hop trails from every sender, window of its event day."""
     led = prepared_ledger(spark, sf_dir)
-    p = graph.expand_paths(features.edges_of(led), stream_seeds(led), 2, 3)
-    return p.select("account_id", "anchor_date", F.array_join("nodes", ">").alias("path"), "length")
+    return graph.expand_paths(features.edges_of(led), event_seeds(led), 2, 3)
 
 
 @register("feature_snapshot_upsert", O.with_ledger(

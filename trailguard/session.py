@@ -59,6 +59,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         base = spark.conf.get("trailguard.shared.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="trailguard-shared-")
         spark.conf.set("trailguard.shared.dir", base)
     if spark.sparkContext.getCheckpointDir() is None:
