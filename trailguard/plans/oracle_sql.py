@@ -103,6 +103,9 @@ CYCLES = """pwin AS (
 outn AS (
   SELECT a.anchor, e.src, count(*) AS out_n FROM edges e JOIN anchors a
     ON e.run_date > a.anchor - 5 AND e.run_date <= a.anchor GROUP BY 1, 2),
+reach AS (
+  SELECT anchor, src, dst AS node FROM pwin
+  UNION SELECT p.anchor, p.src, q.dst FROM pwin p JOIN pwin q ON q.anchor = p.anchor AND q.src = p.dst),
 cyc AS (
   SELECT p.anchor, p.src AS account_id, 1 AS len FROM pwin p
     JOIN outn o ON o.anchor = p.anchor AND o.src = p.src
@@ -114,7 +117,14 @@ cyc AS (
   SELECT p.anchor, p.src, 3 FROM pwin p
     JOIN pwin q ON q.anchor = p.anchor AND q.src = p.dst
     JOIN pwin r ON r.anchor = p.anchor AND r.src = q.dst AND r.dst = p.src
-    WHERE p.src <> p.dst AND q.src <> q.dst AND r.src <> r.dst AND p.src <> q.dst),
+    WHERE p.src <> p.dst AND q.src <> q.dst AND r.src <> r.dst AND p.src <> q.dst
+  UNION ALL
+  SELECT p.anchor, p.src, 4 FROM pwin p
+    JOIN pwin q ON q.anchor = p.anchor AND q.src = p.dst
+    JOIN pwin r ON r.anchor = p.anchor AND r.src = q.dst
+    JOIN pwin t ON t.anchor = p.anchor AND t.src = r.dst AND t.dst = p.src
+    JOIN reach k ON k.anchor = p.anchor AND k.src = p.src AND k.node = t.src
+    WHERE p.src <> p.dst AND q.dst NOT IN (p.src, p.dst) AND r.dst NOT IN (p.src, p.dst, q.dst)),
 active AS (
   SELECT DISTINCT e.src AS account_id, a.anchor AS anchor_date FROM edges e JOIN anchors a
     ON e.run_date > a.anchor - 5 AND e.run_date <= a.anchor),
