@@ -24,15 +24,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest doc_id stays; of repeated
-    rows of that document one."""
+    """Of each group of near duplicates one row stays: that with the smallest doc_id (null last), of
+    several the one whose columns have the smallest hash.  A doc_id listed with different texts
+    can so stay in several groups."""
     from trailguard.llm.simhash import near_duplicates
-    docs = docs.select(COLUMNS)
-    found = near_duplicates(docs, shingle=3)
-    first = found.where(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").select(COLUMNS)
-    twice = kept.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if twice else kept
+    # a row's number is stored with the row, so it names the same row in both reads
+    docs = materialize(docs.select(COLUMNS).withColumns({
+        "_row": F.monotonically_increasing_id(), "_hash": F.xxhash64("text", "lang", "source", "n_chars")}), "rows")
+    found = near_duplicates(docs, shingle=3, keep=("_hash", "_row"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_hash", "_row")
+    first = found.groupBy("root").agg(F.min(place).alias("first")).select("first._row")
+    return docs.join(first, "_row", "left_semi").select(COLUMNS)
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

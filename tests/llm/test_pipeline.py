@@ -34,3 +34,21 @@ def test_simhash_stage_keeps_one_of_repeated_rows(spark):
     df = spark.createDataFrame([(1, t), (1, t), (2, t)], "doc_id bigint, text string") \
         .selectExpr("*", "'en' lang", "'s' source", "1L n_chars")
     assert [r.doc_id for r in P.simhash_near_dedup(spark, df, "").collect()] == [1]
+
+
+def _text(word, n=60):
+    return " ".join(f"{word}{i}" for i in range(n))
+
+
+def test_simhash_stage_with_null_and_repeated_doc_ids(spark):
+    # a group of nulls only, a null beside an id, one id with texts of two groups, and repeated rows
+    rows = [(None, _text("a"), "en", "s"), (None, _text("a"), "en", "s"), (None, _text("b"), "en", "s"),
+            (7, _text("b"), "de", "t"), (1, _text("c"), "en", "u"), (1, _text("d"), "fr", "v"),
+            (2, _text("d"), "en", "w"), (2, _text("e"), "en", "x"), (2, _text("e"), "en", "x"), (1, _text("e"), "en", "y")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string") \
+        .selectExpr("*", "cast(length(text) as bigint) n_chars")
+    want = {(None, _text("a"), "en", "s"), (7, _text("b"), "de", "t"), (1, _text("c"), "en", "u"),
+            (1, _text("d"), "fr", "v"), (1, _text("e"), "en", "y")}
+    for parts in (1, 5):
+        got = [tuple(r)[:4] for r in P.simhash_near_dedup(spark, df.repartition(parts), "").collect()]
+        assert len(got) == len(want) and set(got) == want

@@ -176,8 +176,10 @@ def _links(buckets: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id, fp (signed 64-bit fingerprint), fingerprint (16 hex digits), component_id.
+def near_duplicates(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, fp (signed 64-bit fingerprint), fingerprint (16 hex digits), component_id, root (the
+    smallest fp that links reach: a name of the component that is never null) and the columns in
+    ``keep``.
 
     Texts are lower-cased (A-Z), cut into words and ``shingle``-word shingles; a text with fewer
     words is one shingle; without words (null, empty) the fingerprint is zero and links like any
@@ -187,15 +189,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """
     prepare(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                       F.coalesce(F.col("text"), F.lit("")).alias("text"))
+                       F.coalesce(F.col("text"), F.lit("")).alias("text"), *keep)
     n = bucket_count(base)
-    fps = materialize(base.mapInArrow(_fingerprint(shingle, ["doc_id"]), "doc_id bigint, fp bigint"), "fingerprints")
+    carried = "".join(f"`{c}` {base.schema[c].dataType.simpleString()}, " for c in keep)
+    fps = materialize(base.mapInArrow(_fingerprint(shingle, ["doc_id", *keep]), f"doc_id bigint, {carried}fp bigint"),
+                      "fingerprints")
     nodes = materialize(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     edges = (nodes.select("fp").mapInArrow(_variants(n), "bucket int, blob binary")
              .groupBy("bucket").applyInArrow(_links(n), "u bigint, v bigint"))
     stars = components(edges).select(F.col("u").alias("fp"), F.col("v").alias("root"))
     rooted = nodes.join(stars, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    ids = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
+    ids = rooted.select("fp", "root").join(least, "root").select("fp", "root", "component_id")
     return fps.join(ids, "fp").select(
-        "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+        "doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "root", *keep)
