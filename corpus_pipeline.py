@@ -41,9 +41,8 @@ def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """Bytes of repeated 200-byte strings are removed; documents left without text go.  n_chars is
     counted anew."""
     from trailguard.llm.suffix_dedup import dedup_suffixes
-    docs = docs.select(COLUMNS)
-    kept = dedup_suffixes(docs, length=200).select("doc_id", "kept_text", "n_removed")
-    return (docs.drop("text", "n_chars").join(kept.where("n_removed = 0 or trim(kept_text) <> ''"), "doc_id")
+    kept = dedup_suffixes(docs.select(COLUMNS), length=200, keep=("lang", "source"))
+    return (kept.where("n_removed = 0 or trim(kept_text) <> ''")
             .select("doc_id", F.col("kept_text").alias("text"), "lang", "source",
                     F.length("kept_text").cast("bigint").alias("n_chars")))
 

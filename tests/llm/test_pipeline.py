@@ -52,3 +52,15 @@ def test_simhash_stage_with_null_and_repeated_doc_ids(spark):
     for parts in (1, 5):
         got = [tuple(r)[:4] for r in P.simhash_near_dedup(spark, df.repartition(parts), "").collect()]
         assert len(got) == len(want) and set(got) == want
+
+
+def test_suffix_stage_with_null_and_repeated_doc_ids(spark):
+    shared = _text("passage", 40)
+    rows = [(None, _text("n", 20), "en", "s"), (None, "short one", "de", None), (5, _text("p", 20), "fr", "a"),
+            (5, _text("q", 20), "it", "b"), (5, _text("q", 20), "es", "c"), (6, shared + " end", "en", "d"),
+            (8, shared, "en", "e"), (9, None, None, "f")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string") \
+        .selectExpr("*", "1L n_chars")
+    got = sorted((tuple(r) for r in P.suffix_array_dedup(spark, df, "").collect()), key=str)
+    want = [(d, t or "", la, s, len(t or "")) for d, t, la, s in rows if d not in (6, 8)] + [(6, " end", "en", "d", 4)]
+    assert got == sorted(want, key=str)

@@ -36,15 +36,15 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(name, BATCH_ROWS)
 
 
-def keyed_documents(docs: DataFrame) -> DataFrame:
-    """``doc_id, text, _k``: null texts become empty, ``_k`` is a long that sorts like
+def keyed_documents(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, text, _k`` and the columns in ``keep``: null texts become empty, ``_k`` is a long that sorts like
     ``doc_id`` (nulls first).  Normally ``_k`` is ``doc_id`` itself; where a doc_id is null or
     repeated, ``_k`` is the dense rank of the distinct (doc_id, text hash): rows that repeat a
     doc_id *and* its text are one document listed twice, other texts are documents of their own.
     """
     prepare(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                       F.coalesce(F.col("text"), F.lit("")).alias("text"))
+                       F.coalesce(F.col("text"), F.lit("")).alias("text"), *keep)
     twice = (base.select("doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
              .where((F.col("n") > 1) | F.col("doc_id").isNull()).limit(1).count())
     if not twice:
@@ -53,7 +53,7 @@ def keyed_documents(docs: DataFrame) -> DataFrame:
                 .withColumn("_i", F.coalesce(F.col("doc_id"), F.lit(-(2 ** 63)).cast("bigint"))) \
                 .withColumn("_z", F.col("doc_id").isNotNull())
     rank = number_rows(keyed.select("_z", "_i", "_h").distinct(), ["_z", "_i", "_h"], name="_k")
-    return keyed.join(rank, ["_z", "_i", "_h"]).select("doc_id", "text", "_k")
+    return keyed.join(rank, ["_z", "_i", "_h"]).select("doc_id", "text", *keep, "_k")
 
 
 def bucket_count(df: DataFrame) -> int:
@@ -257,7 +257,7 @@ def _by_document(key, table):
 
 
 def with_found(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """``doc_id, text, _k, blob``: what an exchange found (shard, blob) for each document; its size
+    """The columns of ``docs`` and ``blob``: what an exchange found (shard, blob) for each document; its size
     is bounded by the document's own length."""
     each = found.groupBy("shard").applyInArrow(_by_document, "_k bigint, blob binary")
-    return docs.join(each, "_k", "left").select("doc_id", "text", "_k", "blob")
+    return docs.join(each, "_k", "left").select(*docs.columns, "blob")

@@ -370,7 +370,7 @@ KEPT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed",
                   ("n_spans", pa.int64()), ("kept_text", pa.string()), ("kept_sha256", pa.string())])
 
 
-def _finish(length: int, with_text: bool):
+def _finish(length: int, with_text: bool, keep: tuple[str, ...] = ()):
     def run(batches):
         for b in batches:
             out = []
@@ -391,17 +391,20 @@ def _finish(length: int, with_text: bool):
                 out.append((doc_id.as_py(), len(raw), removed, spans,
                             kept.decode(errors="ignore") if with_text else None,
                             hashlib.sha256(kept).hexdigest()))
-            yield as_batch(KEPT, *zip(*out)) if out else as_batch(KEPT, *[[]] * 6)
+            done = as_batch(KEPT, *zip(*out)) if out else as_batch(KEPT, *[[]] * 6)
+            yield pa.RecordBatch.from_arrays([*done.columns, *(b.column(c) for c in keep)],
+                                             names=[*done.schema.names, *keep])
     return run
 
 
 def dedup_suffixes(docs: DataFrame, length: int = 200, with_text: bool = True,
-                   hot_contexts: tuple[int, int] = HOT_CONTEXTS) -> DataFrame:
+                   hot_contexts: tuple[int, int] = HOT_CONTEXTS, keep: tuple[str, ...] = ()) -> DataFrame:
     """Remove every byte (of the UTF-8 text) covered by a ``length``-byte string that also starts
     anywhere else, in any document or the same one; strings are judged on the input.
 
     Returns doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_text (remaining
-    bytes as text; a character cut in two is left out), kept_sha256 (of the remaining bytes).
+    bytes as text; a character cut in two is left out), kept_sha256 (of the remaining bytes) and
+    each row's own columns in ``keep``.
     Null text counts as empty; texts shorter than ``length`` lose nothing; repeated rows of one
     document are one document and each returns its row (null or repeated doc_ids:
     :func:`trailguard.llm.common.keyed_documents`); other columns are ignored; an empty table
@@ -409,7 +412,7 @@ def dedup_suffixes(docs: DataFrame, length: int = 200, with_text: bool = True,
     """
     if length < 16:
         raise ValueError("length must be at least 16 bytes")
-    docs = keyed_documents(docs)
+    docs = keyed_documents(docs, keep)
     n = bucket_count(docs)
     blobs = "bucket int, blob binary"
     found = "shard bigint, blob binary"
@@ -417,8 +420,9 @@ def dedup_suffixes(docs: DataFrame, length: int = 200, with_text: bool = True,
              .groupBy("bucket").applyInArrow(_named(n, hot_contexts[1]), found))
     repeats = (with_found(docs, named).mapInArrow(_tuples(n, length), blobs)
                .groupBy("bucket").applyInArrow(_induce(n, length), found))
+    carried = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     out = with_found(docs, repeats).mapInArrow(
-        _finish(length, with_text),
+        _finish(length, with_text, keep),
         "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_text string, "
-        "kept_sha256 string")
+        "kept_sha256 string" + carried)
     return out if with_text else out.drop("kept_text")
