@@ -294,3 +294,32 @@ def test_empty_tables(spark, empty):
                toxicity.score_toxicity(empty, lex),
                license_scan.scan_licenses(empty.withColumn("path", F.lit("a/b")))):
         assert df.count() == 0
+
+
+def _scan(spark, rows):
+    from trailguard.llm.license_scan import scan_licenses
+    df = spark.createDataFrame(rows, "doc_id bigint, path string, text string")
+    return {r.doc_id: r for r in scan_licenses(df).collect()}
+
+
+def test_license_scan_recognises_whole_texts(spark):
+    from trailguard.llm.license_scan import licence_texts
+    texts = licence_texts()
+    rows, want = [], {}
+    for i, (name, t) in enumerate(sorted(texts.items())):
+        flat = " ".join(t.split())
+        wrapped = "\n".join(flat[k: k + 60] for k in range(0, len(flat), 60)) if i % 2 else \
+            "Some Project\n\nCopyright (c) 2020 Some Holder. All rights reserved.\n\n" + t
+        for k, form in enumerate((t, flat, wrapped)):
+            d = 10 * i + k
+            rows += [(d, f"p{d}/LICENSE", form), (1000 + d, f"p{d}/src/a.txt", "plain words of a story")]
+            want[d] = name
+    rows += [(5000 + i, f"q/{i}", "the words of a story and the rest of it, with no licence for the driver in it " * 20)
+             for i in range(20)]
+    code = " ".join(f"x{i} = y{i}" for i in range(400))
+    rows.append((7000, "r/a.py", "\n".join("# " + x for x in texts["BSD-2-Clause"].split("\n")) + "\n" + code))
+    got = _scan(spark, rows)
+    assert {d: (got[d].license, got[d].origin) for d in want} == {d: (n, "file") for d, n in want.items()}
+    assert {d: (got[1000 + d].license, got[1000 + d].origin) for d in want} == {d: (n, "inherited") for d, n in want.items()}
+    assert all(got[5000 + i].license is None for i in range(20))
+    assert (got[7000].license, got[7000].origin) == ("BSD-2-Clause", "header")
