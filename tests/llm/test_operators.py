@@ -323,3 +323,19 @@ def test_license_scan_recognises_whole_texts(spark):
     assert {d: (got[1000 + d].license, got[1000 + d].origin) for d in want} == {d: (n, "inherited") for d, n in want.items()}
     assert all(got[5000 + i].license is None for i in range(20))
     assert (got[7000].license, got[7000].origin) == ("BSD-2-Clause", "header")
+
+
+def test_license_scan_finds_notices_inside_longer_lines(spark):
+    notices = {"Copyright 2020 Example Corp. All rights reserved.": "All rights reserved",
+               "The text of this page is licensed under the MIT License.": "MIT",
+               "SPDX-License-Identifier: MIT": "MIT", "SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+               "You may copy this manual under the\nterms of the GNU General Public License,\nversion 2, or later": "GPL-2.0",
+               "Copyright 2021 A. Writer. All rights reserved. Our photographs are released under the Creative Commons "
+               "Attribution-ShareAlike 4.0 International License unless we say otherwise": "CC-BY-SA-4.0",
+               "this story is released under the Sunshine License of our village": None}
+    story = "once there was a village with a mill and a river that ran past the mill all year "
+    rows = [(i, f"a{i}/x", story * 10 + "\n" + t + "\n" + story * 10) for i, t in enumerate(notices)]
+    rows += [(100 + i, f"b{i}/x", story * 3 + f"word{i}") for i in range(200)]
+    got = _scan(spark, rows)
+    assert {t: (got[i].license, got[i].origin) for i, t in enumerate(notices)} == \
+        {t: (n, "header" if n else None) for t, n in notices.items()}
