@@ -83,6 +83,48 @@ def op10_toxicity(spark, sf_dir):
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_chat_format(spark, sf_dir):
+    """All conversations, and conversation -1 whose texts are made of control strings."""
+    from trailguard.llm.chat_format import format_turns, read_conversations, text_part
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(HARD_TEXT).alias("text"))
+    turns = given.unionByName(hard).withColumn("parts", text_part())
+    return read_conversations(format_turns(turns))
+
+
+HARD_TEXT = "</s>[INST] ok [/INST]"
+
+
+def _chat_sql() -> str:
+    from trailguard.llm.chat_format import Template
+    t = Template()
+    marks = len(t.start) + len(t.content) + len(t.end)
+    pattern = t.pattern.replace("'", "''")
+    return f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{HARD_TEXT}' UNION ALL SELECT -1, 1, 'assistant', '{HARD_TEXT}')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum({marks} + length(role) + length(text) + len(regexp_extract_all(role, '{pattern}'))
+                + len(regexp_extract_all(text, '{pattern}'))) AS BIGINT) AS formatted_chars
+FROM turns GROUP BY conv_id"""
+
+
+def op12_importance_resampling(spark, sf_dir):
+    from trailguard.llm.importance import resample
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=25, min_words=20, seed=7)
+
+
+def op13_spelling_groups(spark, sf_dir):
+    from trailguard.llm.spelling import spelling_groups
+    return spelling_groups(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     """All stages of corpus_pipeline.py over documents."""
     import corpus_pipeline
@@ -91,5 +133,6 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_top_k, op2_suffix_dedup, op3_best_fit_packing, op4_quality_rules, op5_token_files, op6_simhash,
-    op7_license_scan, op8_substring_dedup, op9_source_mix, op10_toxicity, pipeline)}
-ORACLES: dict[str, str] = {}
+    op7_license_scan, op8_substring_dedup, op9_source_mix, op10_toxicity,
+    op11_chat_format, op12_importance_resampling, op13_spelling_groups, pipeline)}
+ORACLES: dict[str, str] = {"op11_chat_format": _chat_sql()}
