@@ -21,19 +21,19 @@ def digests(rows):
     """{conv_id: digest columns but formatted_chars}"""
     convs = {}
     for conv, turn, role, text in rows:
-        convs.setdefault(conv, []).append((-1 if turn is None else turn, T.escape(role or ""), role or "", text or ""))
+        convs.setdefault(conv, []).append((-1 if turn is None else turn, role or "", text or ""))
     out = {}
     for conv, turns in convs.items():
-        turns.sort(key=lambda t: (t[0], f"{t[1]}{T.content}{T.escape(t[3])}{T.end}".encode()))
-        loss = "".join(t[3] for t in turns if t[2] == "assistant")
-        out[conv] = (len(turns), sha("".join(f"{t[2]}\n{t[3]}\n" for t in turns)), len(loss), sha(loss))
+        turns.sort(key=lambda t: (t[0], t[1].encode(), t[2].encode()))
+        loss = "".join(t[2] for t in turns if t[1] == "assistant")
+        out[conv] = (len(turns), sha("".join(f"{t[1]}\n{t[2]}\n" for t in turns)), len(loss), sha(loss))
     return out
 
 
 def run(spark, rows, parts=3):
     df = spark.createDataFrame(rows, SCHEMA).repartition(parts).selectExpr(
         "*", "1 as piece", "'x' as formatted", "2 as part").withColumn("parts", C.text_part())
-    got = C.read_conversations(C.format_turns(df)).collect()
+    got = C.read_conversations(C.format_turns(C.in_order(df))).collect()
     assert len(got) == len({r.conv_id for r in got})
     return {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got}, got
 

@@ -11,11 +11,11 @@ no control string that the template did not write, and taking one BREAK away aga
 
 Cases: a null text or list of parts is empty; a null role is an empty role; a part of unknown type is
 its text, if it has one; null sizes count as the defaults of ``Expansion``; a null conv_id is a
-conversation of its own; turns sort by (turn, formatted text), nulls first, so that repeated turns and
+conversation of its own; turns sort by (turn, role, parts), nulls first, so that repeated turns and
 ties have a defined order and repeated rows stay; an empty table gives an empty result.
 
-A conversation may be of any length: turns are formatted one by one, read back in range partitions
-that cut long conversations, and only what a checksum needs in sequence goes on as bounded pieces,
+A conversation may be of any length: range partitions by (conv_id, turn) cut long conversations, turns
+are formatted and read back one by one, and only what a checksum needs in sequence goes on as bounded pieces,
 streamed by one task a conversation (SHA-256 can't be computed out of order).
 """
 
@@ -25,6 +25,7 @@ import hashlib
 import math
 import re
 from dataclasses import dataclass
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -60,30 +61,37 @@ class Template:
             if any(a.endswith(b[:n]) for b in marks for n in range(1, min(len(a), len(b)))):
                 raise ValueError(f"control string {a!r} ends as another begins")
 
-    @property
+    @cached_property
     def controls(self) -> tuple[str, ...]:
         own = (self.start, self.content, self.end.rstrip("\n"), self.image, self.audio, self.document)
         return tuple(dict.fromkeys(own + self.foreign))
 
-    @property
+    @cached_property
     def pattern(self) -> str:
         """A control string's first character, its breaks, its rest; also for SQL."""
         return "|".join(f"{re.escape(c[0])}{BREAK}*{re.escape(c[1:])}" for c in self.controls)
 
-    def escape(self, text: str) -> str:
-        return _compiled(self.pattern).sub(lambda m: m[0][0] + BREAK + m[0][1:], text)
+    @cached_property
+    def _control(self) -> re.Pattern:
+        return re.compile(self.pattern)
 
-    def unescape(self, text: str) -> str:
-        return _compiled(self.pattern).sub(lambda m: m[0][0] + m[0][2 if m[0][1] == BREAK else 1:], text)
+    @cached_property
+    def placeholders(self) -> dict[str, str]:
+        return {self.image: "image", self.audio: "audio", self.document: "document"}
 
+    @cached_property
+    def _placeholder(self) -> re.Pattern:
+        return re.compile("(" + "|".join(map(re.escape, self.placeholders)) + ")")
 
-_PATTERNS: dict = {}
+    def escape(self, text: str) -> str:
+        return self._control.sub(lambda m: m[0][0] + BREAK + m[0][1:], text)
 
+    def unescape(self, text: str) -> str:
+        return self._control.sub(lambda m: m[0][0] + m[0][2 if m[0][1] == BREAK else 1:], text)
 
-def _compiled(pattern: str) -> re.Pattern:
-    if pattern not in _PATTERNS:
-        _PATTERNS[pattern] = re.compile(pattern)
-    return _PATTERNS[pattern]
+    def pieces(self, content: str) -> list[str]:
+        """Content cut at its placeholders, which stay."""
+        return self._placeholder.split(content)
 
 
 @dataclass(frozen=True)
@@ -181,9 +189,9 @@ def read_turn(template: Template, formatted: str, attachments: list | None = Non
     if not formatted.startswith(template.start) or not formatted.endswith(template.end):
         raise ValueError("not a formatted turn")
     role, _, content = formatted[len(template.start): -len(template.end)].partition(template.content)
-    marks = {getattr(template, k): k for k in ("image", "audio", "document")}
+    marks = template.placeholders
     left, parts = list(attachments or ()), []
-    for piece in _compiled("(" + "|".join(map(re.escape, marks)) + ")").split(content):
+    for piece in template.pieces(content):
         if piece in marks:
             ref = left.pop(0)["ref"] if left else None
             parts.append({"type": marks[piece], "ref": ref})
@@ -272,14 +280,17 @@ def _finish(batches):
     yield pa.RecordBatch.from_arrays([pa.array(c, _PIECES.field(n).type) for c, n in zip(cols, _DIGEST)], names=_DIGEST)
 
 
+def in_order(turns: DataFrame) -> DataFrame:
+    """Turns dealt and sorted by (conv_id, turn, role, parts); formatting keeps that order."""
+    order = ["conv_id", "turn", "role", "parts"]
+    return turns.select(*order).repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def read_conversations(formatted: DataFrame, template: Template = Template()) -> DataFrame:
-    """Reads :func:`format_turns` back.  Per conversation: conv_id, n_turns, turns_sha256 (of role, line feed, text,
+    """Reads :func:`format_turns` of turns :func:`in_order` back.  Per conversation: conv_id, n_turns, turns_sha256 (of role, line feed, text,
     line feed of each turn), loss_chars and loss_sha256 (all text under the loss spans, unescaped),
     formatted_chars."""
-    order = ["conv_id", "turn", "formatted"]
-    pieces = materialize(
-        formatted.select(*order, "loss").repartitionByRange(*order).sortWithinPartitions(*order)
-        .select("conv_id", "formatted", "loss").mapInArrow(_read_back(template), _PIECE_DDL), "chat")
+    pieces = materialize(formatted.select("conv_id", "formatted", "loss").mapInArrow(_read_back(template), _PIECE_DDL), "chat")
     rest = pieces.where("turns is not null").repartition("conv_id").sortWithinPartitions("conv_id", "part", "piece") \
         .mapInArrow(_finish, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, "
                              "loss_sha256 string, formatted_chars bigint")

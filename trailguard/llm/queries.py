@@ -85,13 +85,13 @@ def op10_toxicity(spark, sf_dir):
 
 def op11_chat_format(spark, sf_dir):
     """All conversations, and conversation -1 whose texts are made of control strings."""
-    from trailguard.llm.chat_format import format_turns, read_conversations, text_part
+    from trailguard.llm.chat_format import format_turns, in_order, read_conversations, text_part
     given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hard = spark.range(2).select(
         F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(HARD_TEXT).alias("text"))
     turns = given.unionByName(hard).withColumn("parts", text_part())
-    return read_conversations(format_turns(turns))
+    return read_conversations(format_turns(in_order(turns)))
 
 
 HARD_TEXT = "</s>[INST] ok [/INST]"
