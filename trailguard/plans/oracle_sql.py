@@ -34,7 +34,7 @@ anchors AS (SELECT DISTINCT run_date AS anchor FROM ledger)"""
 
 def with_ledger(body: str, *ctes: str) -> str:
     extra = "".join(f",\n{c}" for c in ctes)
-    return f"WITH {LEDGER_CTE}{extra}\n{body}"
+    return f"WITH RECURSIVE {LEDGER_CTE}{extra}\n{body}"
 
 
 def money_avg(col: str) -> str:
@@ -96,7 +96,8 @@ trips AS (
          avg(len) AS avg_round_trip_length
   FROM trails GROUP BY 1, 2)"""
 
-# Simple cycles (length <= 3) on the windowed graph with parallel edges collapsed.
+# Simple cycles of any length on the windowed graph with parallel edges collapsed: every path that stays
+# within two edges of its first account, and the paths that can be closed.
 CYCLES = """pwin AS (
   SELECT DISTINCT a.anchor, e.src, e.dst FROM edges e JOIN anchors a
     ON e.run_date > a.anchor - 5 AND e.run_date <= a.anchor),
@@ -106,25 +107,20 @@ outn AS (
 reach AS (
   SELECT anchor, src, dst AS node FROM pwin
   UNION SELECT p.anchor, p.src, q.dst FROM pwin p JOIN pwin q ON q.anchor = p.anchor AND q.src = p.dst),
+walk AS (
+  SELECT anchor, src AS s, dst AS node, [dst] AS path FROM pwin WHERE src <> dst
+  UNION ALL
+  SELECT w.anchor, w.s, q.dst, list_append(w.path, q.dst) FROM walk w
+    JOIN pwin q ON q.anchor = w.anchor AND q.src = w.node
+    JOIN reach k ON k.anchor = w.anchor AND k.src = w.s AND k.node = q.dst
+    WHERE q.dst <> w.s AND NOT list_contains(w.path, q.dst)),
 cyc AS (
   SELECT p.anchor, p.src AS account_id, 1 AS len FROM pwin p
     JOIN outn o ON o.anchor = p.anchor AND o.src = p.src
     WHERE p.src = p.dst AND o.out_n >= 2
   UNION ALL
-  SELECT p.anchor, p.src, 2 FROM pwin p JOIN pwin q
-    ON q.anchor = p.anchor AND q.src = p.dst AND q.dst = p.src WHERE p.src <> p.dst
-  UNION ALL
-  SELECT p.anchor, p.src, 3 FROM pwin p
-    JOIN pwin q ON q.anchor = p.anchor AND q.src = p.dst
-    JOIN pwin r ON r.anchor = p.anchor AND r.src = q.dst AND r.dst = p.src
-    WHERE p.src <> p.dst AND q.src <> q.dst AND r.src <> r.dst AND p.src <> q.dst
-  UNION ALL
-  SELECT p.anchor, p.src, 4 FROM pwin p
-    JOIN pwin q ON q.anchor = p.anchor AND q.src = p.dst
-    JOIN pwin r ON r.anchor = p.anchor AND r.src = q.dst
-    JOIN pwin t ON t.anchor = p.anchor AND t.src = r.dst AND t.dst = p.src
-    JOIN reach k ON k.anchor = p.anchor AND k.src = p.src AND k.node = t.src
-    WHERE p.src <> p.dst AND q.dst NOT IN (p.src, p.dst) AND r.dst NOT IN (p.src, p.dst, q.dst)),
+  SELECT w.anchor, w.s, len(w.path) + 1 FROM walk w
+    JOIN pwin p ON p.anchor = w.anchor AND p.src = w.node AND p.dst = w.s),
 active AS (
   SELECT DISTINCT e.src AS account_id, a.anchor AS anchor_date FROM edges e JOIN anchors a
     ON e.run_date > a.anchor - 5 AND e.run_date <= a.anchor),
