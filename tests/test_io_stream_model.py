@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from trailguard.operators import model
 from trailguard.sources import files
 from trailguard.streaming import state, wire
+from trailguard.streaming.sinks import TopicFolder
 
 SF = "/root/testdata/sf0.001"
 
@@ -87,11 +88,19 @@ def test_stream_running_stats_equal_batch_twin(spark, tmp_path):
         (msgs.where(F.floor(F.datediff(F.to_date("_day"), F.to_date(F.lit("1999-03-01"))) / 7) == week)
          .coalesce(1).select("value").write.mode("append").text(topic))
     good, _ = wire.decode_transactions(wire.file_source(spark, topic, 1))
-    s = state.running_stats(wire.dedupe_stream(good, ["from_acc", "to_acc", "run_date", "txn_id"]))
     out = str(tmp_path / "out")
-    q = (s.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ck"))
-         .trigger(availableNow=True).start(out))
+
+    def batch(rows, batch_id):
+        rows = rows.persist()
+        st = state.RunningState(spark, str(tmp_path / "state"), compact_every=2)
+        st.maintain(rows, batch_id)
+        for _ in range(2):                               # as after a failure: the second attempt replaces the first
+            TopicFolder(out).write(st.advance(rows, batch_id), batch_id)
+        rows.unpersist()
+    q = (wire.dedupe_stream(good, ["from_acc", "to_acc", "run_date", "txn_id"]).writeStream.foreachBatch(batch)
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     q.awaitTermination(600)
+    assert q.exception() is None
     streamed = {(r.txn_id, r.today_tx, r.today_avg, r.today_targets)
                 for r in spark.read.parquet(out).collect()}
     gb, _ = wire.decode_transactions(spark.read.text(topic))

@@ -85,15 +85,27 @@ def materialize(df, name: str = "stage"):
 
 
 def stash(df, name: str, cache: list | None = None):
-    """Reuse point for a frame read several times: in a batch job it is written to the shared
-    folder (:func:`materialize`); inside a micro-batch (``cache`` given) it is persisted for
-    the batch and appended to ``cache`` for the caller to unpersist -- a failed micro-batch is
-    replayed from the stream checkpoint, so it needs no durable copy."""
+    """Reuse point for a frame read several times: written to the shared folder (:func:`materialize`), which
+    also keeps plans short.  With ``cache`` the table's path is appended to it, for the caller to
+    :func:`release` when the work that reads it is done."""
     if cache is None:
         return materialize(df, name)
-    df = df.persist()
-    cache.append(df)
-    return df
+    path = scratch_path(df.sparkSession, name)
+    cache.append(path)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def release(spark: SparkSession, cache: list) -> None:
+    """Delete the scratch tables (paths) and drop the persisted frames that ``cache`` holds."""
+    root = f"{shared_dir(spark)}/{_SUBDIR}/"
+    for held in cache:
+        if not isinstance(held, str):
+            held.unpersist()
+        elif held.startswith(root):          # only what scratch_path made
+            path = spark._jvm.org.apache.hadoop.fs.Path(held)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    cache.clear()
 
 
 _SHIPPED: set = set()
