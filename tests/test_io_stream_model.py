@@ -175,6 +175,21 @@ def test_scaler_matches_numpy(spark):
         assert abs(stats[f"std_{c}"] - pdf[c].std(ddof=0)) < 1e-9   # population std
 
 
+def test_means_do_not_depend_on_the_order_of_rows(spark):
+    from fractions import Fraction
+    rng = np.random.default_rng(8)
+    x = np.concatenate((rng.normal(size=500) * 10.0 ** rng.integers(-9, 16, 500), [1e16, -1e16, 3.0, 0.1, -0.0]))
+    odd = [float("nan"), float("inf"), None]
+    got = set()
+    for seed, parts in ((1, 1), (2, 7)):
+        values = [float(v) for v in np.random.default_rng(seed).permutation(x)] + odd
+        df = spark.createDataFrame([(v,) for v in values], "x double").repartition(parts)
+        got.add(model.exact_means(df, {"x": F.col("x")}).first()[0])
+    exact = float(sum(map(Fraction, x.tolist())) / len(x))
+    assert len(got) == 1 and abs(got.pop() - exact) <= 1e-15 * abs(exact) + 2.0 ** -50
+    assert model.exact_means(df.limit(0), {"x": F.col("x")}).first()[0] is None
+
+
 def test_model_save_load(spark, tmp_path):
     df = _toy_features(spark, n=600)
     f = model.fit_forest(df)

@@ -74,16 +74,37 @@ def rule_eval(spark, sf_dir):
         "account_id", "feature_date", "rule_hit", "rule_reason")
 
 
-@register("scaler_fit")
+def _limb_mean(x: str) -> str:
+    """SQL twin of ``model.exact_means`` for one expression: integer sums per limb, highest first."""
+    def size(bits):
+        return f"CAST({2.0 ** bits!r} AS DOUBLE)"
+
+    at = [f"round_even(({x}) * {size(-model.LIMB_BITS * k)}, 0)" for k in model.LIMBS]
+    limbs = [at[0], *(f"{low} - {high} * {size(model.LIMB_BITS)}" for high, low in zip(at, at[1:]))]
+    terms = [f"CAST(CAST(sum(CAST({c} AS HUGEINT)) AS VARCHAR) AS DOUBLE) * {size(model.LIMB_BITS * k)}"
+             for k, c in zip(model.LIMBS, limbs)]
+    return f"({' + '.join(terms)}) / count(*)"
+
+
+_F = list(model.MODEL_FEATURES)
+SCALER = (f"feat AS (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _F)}, account_id, feature_date FROM rolling)",
+          f"means AS (SELECT {', '.join(f'{_limb_mean(c)} AS mean_{c}' for c in _F)} FROM feat)",
+          "far AS (SELECT " + ", ".join(f"({c} - mean_{c}) * ({c} - mean_{c}) AS {c}" for c in _F) + " FROM feat, means)",
+          f"stds AS (SELECT {', '.join(f'sqrt({_limb_mean(c)}) AS std_{c}' for c in _F)} FROM far)")
+
+
+@register("scaler_fit", O.with_ledger("SELECT * FROM means, stds", O.HISTORY, O.TODAY, O.FEATURES, *SCALER))
 def scaler_fit(spark, sf_dir):
-    """D14 (rows-only: double aggregates differ in the last bits between engines;
-    unit-tested against numpy with a tolerance)."""
+    """Means and population standard deviations, from order-independent sums."""
     return model.fit_scaler(model.model_features(_rolling(spark, sf_dir)))
 
 
-@register("scaler_transform")
+@register("scaler_transform", O.with_ledger(
+    "SELECT account_id, feature_date, " + ", ".join(
+        f"({c} - mean_{c}) / CASE WHEN std_{c} = 0 THEN 1 ELSE std_{c} END AS {c}" for c in _F) + " FROM feat, means, stds",
+    O.HISTORY, O.TODAY, O.FEATURES, *SCALER))
 def scaler_transform(spark, sf_dir):
-    """J2 (rows-only, see scaler_fit)."""
+    """Every feature row scaled."""
     f = model.model_features(_rolling(spark, sf_dir))
     return model.apply_scaler(f, model.fit_scaler(f))
 
