@@ -152,12 +152,18 @@ def _search(k: int):
 
 def quantised(vectors: DataFrame, scale: float = 256.0, column: str = "embedding") -> DataFrame:
     """vec_id, q: components as floor(scale * x), x as double.  Vectors that are null, empty, or
-    hold null or non-finite components take no part, nor do rows without vec_id."""
+    hold null or non-finite components take no part, nor do rows without vec_id.  A finite component
+    whose quantised value is beyond 64 bits fails the job."""
+    def whole(v):
+        x = v * F.lit(scale)
+        return F.when(F.abs(x) < 2.0 ** 63, F.floor(x)).otherwise(
+            F.raise_error(F.lit("a quantised component is beyond 64 bits")).cast("bigint"))
+
     d = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"),
                        F.col(column).cast("array<double>").alias("x"))
     fine = F.col("vec_id").isNotNull() & F.col("x").isNotNull() & (F.size("x") > 0) & F.forall(
         "x", lambda v: F.coalesce(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")), F.lit(False)))
-    return d.where(fine).select("vec_id", F.transform("x", lambda v: F.floor(v * F.lit(scale))).alias("q"))
+    return d.where(fine).select("vec_id", F.transform("x", whole).alias("q"))
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:

@@ -57,8 +57,8 @@ def keyed_documents(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def bucket_count(df: DataFrame) -> int:
-    """Hash buckets for an exchange: two per input partition, so buckets grow in number, not in
-    size, with the input."""
+    """Hash buckets for an exchange: two per partition of ``df``, so buckets grow in number, not in
+    size, with the input.  Ask for the table as read: behind a join the partitions are the shuffle's."""
     return max(4, 2 * df.rdd.getNumPartitions())
 
 
