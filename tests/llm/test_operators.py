@@ -106,6 +106,8 @@ def test_top_k(spark):
     assert {k: [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == k]
             for k in want} == want
     assert top_k(q.limit(0), q.limit(0)).count() == 0
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        quantised(spark.createDataFrame([(1, [1e300])], "vec_id bigint, embedding array<double>")).collect()
 
 
 def vocab(name):
@@ -115,7 +117,6 @@ def vocab(name):
 def whole_ids(path, rows, end):
     from tokenizers import Tokenizer
     lib = Tokenizer.from_file(path)
-    lib.encode_special_tokens = True
     return {r[0]: np.array(lib.encode(r[1] or "", add_special_tokens=False).ids + [end], "<u4") for r in rows}
 
 
@@ -128,11 +129,31 @@ def test_cached_encoder_equals_library(name):
     texts = ["", " ", "  a", "a \n b", "it's ,x", "é́ x", "<|endoftext|> a", "İxİ, İ.", "a　b 　 c",
              "don't 'll can't.", "1,2 3.4. 5", "a   b    c", "x\nY.\nZ, w\n\nq", "a ab\x01c \x01 d", "tail "]
     texts += ["".join(rnd.choice("ab'sé .,\n\t 1²İ́ %") for _ in range(40)) for _ in range(600)]
-    enc = Encoder(vocab(name))
-    for _ in range(2):                     # cold and from the cache
+    texts += ["a <|endoftext|> b", "<|startoftext|> x", "x<|endoftext|>", "Ab aB. AB, ÀB\nÀb. c"]
+    from tokenizers import Tokenizer
+    for as_text in (False, True):
+        lib = Tokenizer.from_file(vocab(name))
+        if as_text:
+            lib.encode_special_tokens = True
+        want = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+        enc = Encoder(vocab(name), as_text)
+        for _ in range(2):                     # cold and from the cache
+            ids, off = enc.encode(pa.array(texts))
+            assert [ids[a:z].tolist() for a, z in zip(off[:-1], off[1:])] == want
+        assert enc.encode(pa.array([], pa.string()))[1].tolist() == [0]
+
+
+def test_encoder_forgets_stems(monkeypatch):
+    import pyarrow as pa
+    from trailguard.llm import tokenizing
+    monkeypatch.setattr(tokenizing, "CACHE_STEMS", 12)
+    enc = tokenizing.Encoder(vocab("byte_bpe_50k.json"))
+    for lo in range(0, 60, 3):
+        texts = [f"the {'abcdefghij'[i % 10] * (1 + i // 10)} the, {'xyz'[i % 3]}." for i in range(lo, lo + 3)]
         ids, off = enc.encode(pa.array(texts))
         got = [ids[a:z].tolist() for a, z in zip(off[:-1], off[1:])]
         assert got == [enc.lib.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(enc.after.row) <= 12
 
 
 def test_packing(docs, odd):
@@ -160,6 +181,61 @@ def test_packing_repacks_open_sequences_across_groups(spark, docs, monkeypatch):
     assert got.sequence_id.nunique() <= 1.3 * np.ceil(got.length.sum() / 256) + 1
 
 
+def test_packing_deals_copies_over_groups(spark, monkeypatch):
+    """Sixty copies of one row are dealt to several groups, and each is packed once."""
+    from trailguard.llm import packing
+    monkeypatch.setattr(packing, "GROUP_ITEMS", 10)
+    items = spark.range(60).selectExpr("id as _row", "7L as _len")
+    dealt = packing._grouped(items, 64, packing._groups(60)).toPandas()
+    assert len(dealt) == 60 and (dealt._bin // 2 ** 32).nunique() > 3
+    df = spark.createDataFrame([(5, "one two three four five")] * 60, "doc_id bigint, text string")
+    got = packing.pack_documents(df, vocab("byte_bpe_50k.json"), capacity=64).toPandas()
+    assert len(got) == 60 and got.groupby("sequence_id").length.sum().max() <= 64
+    # ten pieces of six ids fill a sequence: six are the least, and open ones move as wholes
+    assert got.sequence_id.nunique() <= 7
+
+
+def test_special_tokens(spark):
+    from trailguard.llm.packing import pack_documents
+    from tokenizers import Tokenizer
+    df = spark.createDataFrame([(1, "a <|endoftext|> b"), (2, None), (2, "x"), (None, "x")], "doc_id bigint, text string")
+    lib = Tokenizer.from_file(vocab("byte_bpe_50k.json"))
+    lib.encode_special_tokens = True
+    text = len(lib.encode("a <|endoftext|> b", add_special_tokens=False).ids) + 1
+    n = {as_text: sorted(r.length for r in pack_documents(df, vocab("byte_bpe_50k.json"), special_as_text=as_text).collect())
+         for as_text in (False, True)}
+    assert n == {False: [1, 2, 2, 5], True: [1, 2, 2, text]}
+
+
+def test_buckets_do_not_shrink_with_a_repeated_id(spark, monkeypatch):
+    from trailguard.llm import suffix_dedup
+    seen, count = [], suffix_dedup.bucket_count
+    monkeypatch.setattr(suffix_dedup, "bucket_count", lambda d: seen.append(count(d)) or seen[-1])
+    rows = [(i, f"text {i}") for i in range(64)]
+    for more in ([], [(3, "again")]):
+        df = spark.createDataFrame(rows + more, "doc_id bigint, text string").repartition(16)
+        assert suffix_dedup.dedup_suffixes(df).count() == 64 + len(more)
+    assert seen == [32, 32]
+
+
+def test_quality_sample_spreads_over_splits(spark):
+    from trailguard.llm.quality import _sample
+    df = spark.range(0, 6400, 1, 64).selectExpr("cast(id as string) text")
+    got = [int(x) for x in _sample(df, 320).to_pylist()]
+    assert len(got) == 320 and len({x // 100 for x in got}) == 32 and max(got) > 6000
+    assert len(_sample(df.limit(0), 10)) == 0
+
+
+def test_token_files_with_null_and_repeated_ids(odd):
+    from trailguard.llm.token_files import token_round_trip
+    path = vocab("word_bpe_49k.json")
+    got = sorted(token_round_trip(odd, path).collect(), key=lambda r: r.start)
+    want = whole_ids(path, [(i, r.text) for i, r in enumerate(odd.collect())], 1)
+    assert sorted(r.ids_crc32 for r in got) == sorted(zlib.crc32(x.tobytes()) for x in want.values())
+    assert [r.doc_id for r in got] == [None, None, 1, 1, 1, 2, 3]
+    assert [r.start for r in got] == np.cumsum([0] + [r.n_tokens for r in got[:-1]]).tolist()
+
+
 @pytest.mark.parametrize("planes", ["byte", "bit"])
 def test_token_files(docs, planes):
     from trailguard.llm.token_files import token_round_trip

@@ -5,7 +5,7 @@ Each piece is placed where the sum of squares of the numbers of open sequences p
 becomes smallest, which keeps every gap about equally rare, so that later pieces find a
 fitting one.  Pieces are dealt to groups of bounded size by a hash, each group is packed on its
 own, longest pieces first; sequences that stay open are packed once more as whole items across
-the groups, until one group holds them all or no round saves any.
+the groups, until one group holds them all or a round saves less than one in a thousand.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from trailguard.llm.common import as_batch, materialize, merged, prepare
 from trailguard.llm.tokenizing import encoded, encoder
 
 GROUP_ITEMS = 20_000
-ROUNDS = 6
+#: Repacking ends with a round that closes less than this share of the open sequences.
+WORTHWHILE = 0.001
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,9 +60,9 @@ PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.
                     ("length", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())])
 
 
-def _pieces(path: str, end_id: int, capacity: int, with_ids: bool):
+def _pieces(path: str, end_id: int, capacity: int, with_ids: bool, special_as_text: bool):
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, special_as_text)
         end = np.array([end_id], "<u4").tobytes()
         for b in merged(batches):
             docs = b.column("doc_id")
@@ -112,36 +113,35 @@ def _groups(n: int) -> int:
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int = 2,
-                   with_ids: bool = False) -> DataFrame:
+                   with_ids: bool = False, special_as_text: bool = False) -> DataFrame:
     """Pack all documents into sequences of at most ``capacity`` ids.
 
     Returns per piece: doc_id, piece, start (its document's ids before it), length, ids_crc32
     (of the little-endian 32-bit ids), sequence_id, offset, and ids when ``with_ids``.  Pieces of
     one sequence lie end to end from offset 0.  Null text counts as empty (one piece: the end
-    id); repeated rows are packed one by one; null doc_ids are kept; other columns are ignored;
+    id); repeated rows are packed one by one; a special token's string in a text is that token, as the
+    library has it, or with ``special_as_text`` ordinary text; null doc_ids are kept; other columns are ignored;
     an empty table gives an empty result.
     """
     prepare(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
     pieces = materialize(base.mapInArrow(
-        _pieces(tokenizer_path, end_id, capacity, with_ids),
-        "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary"), "pieces")
+        _pieces(tokenizer_path, end_id, capacity, with_ids, special_as_text),
+        "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary")
+        .withColumn("_row", F.monotonically_increasing_id()), "pieces")
     full = pieces.where(F.col("length") == capacity)
-    # a hash is a row's name for dealing and ordering; equal rows are interchangeable
-    name = F.xxhash64("doc_id", "piece", "ids_crc32", "length").alias("_row")
+    # the stored row number is a piece's name for dealing, so copies of one document spread over all groups
     rest = pieces.where(F.col("length") < capacity)
     slim = rest.select("doc_id", "piece", "start", "length", "ids_crc32", "ids",
-                       name, F.col("length").alias("_len"))
+                       "_row", F.col("length").alias("_len"))
     first = materialize(_grouped(slim, capacity, _groups(rest.count())), "packed")
     # open sequences of all groups are packed again, as whole items
     moved = (first.where(F.col("_used") < capacity).groupBy(F.col("_bin").alias("_row"))
              .agg(F.max("_used").alias("_len")))
     moved = materialize(moved.withColumns({"_from": F.col("_row"), "_shift": F.lit(0).cast("bigint")}), "open")
     n = moved.count()
-    for _ in range(ROUNDS):
-        if n < 2:
-            break
+    while n > 1:
         groups = _groups(n)
         step = _grouped(moved.groupBy("_row").agg(F.max("_len").alias("_len")), capacity, groups)
         step = materialize(step, "repacked")
@@ -150,7 +150,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, e
             moved.drop("_len").join(step.select("_row", "_bin", "_at", F.col("_used").alias("_len")), "_row")
             .select(F.col("_bin").alias("_row"), "_len", "_from",
                     (F.col("_shift") + F.col("_at")).alias("_shift")), "open")
-        if groups == 1 or n >= was:
+        if groups == 1 or was - n < WORTHWHILE * was:
             break
     part = (first.join(moved.select(F.col("_from").alias("_bin"), F.col("_row").alias("_to"), "_shift"),
                        "_bin", "left")

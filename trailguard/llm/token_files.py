@@ -72,9 +72,9 @@ CHUNKS = pa.schema([("part", pa.int32()), ("chunk", pa.int32()), ("n_ids", pa.in
                     ("payload", pa.binary())])
 
 
-def _write(path: str, end_id: int, planes: str):
+def _write(path: str, end_id: int, planes: str, special_as_text: bool):
     def run(batches):
-        enc = encoder(path)
+        enc = encoder(path, special_as_text)
         part, chunk = TaskContext.get().partitionId(), 0
         docs, lens, held, n = [], [], [], 0
 
@@ -107,9 +107,11 @@ def _write(path: str, end_id: int, planes: str):
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int = 1,
-                 planes: str = "byte") -> None:
+                 planes: str = "byte", special_as_text: bool = False) -> None:
     """Write the ids of all documents in ascending doc_id order (nulls first; equal doc_ids by
-    text hash) under ``path``.  Null text counts as empty; every text ends with ``end_id``."""
+    text hash) under ``path``.  Null text counts as empty; every text ends with ``end_id``.  A special
+    token's string in a text is that token, as the library has it, or with ``special_as_text``
+    ordinary text."""
     spark = docs.sparkSession
     prepare(spark)
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -117,7 +119,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
     # as many ranges as input partitions: a range is about the size of an input split
     ranges = max(base.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     ordered = base.repartitionByRange(ranges, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    (ordered.mapInArrow(_write(tokenizer_path, end_id, planes),
+    (ordered.mapInArrow(_write(tokenizer_path, end_id, planes, special_as_text),
                         "part int, chunk int, n_ids bigint, n_docs bigint, doc_ids array<bigint>, "
                         "lengths array<bigint>, planes array<int>, payload binary")
      .write.option("compression", "uncompressed").parquet(path + "/data"))
@@ -166,10 +168,10 @@ def read_tokens(spark: SparkSession, path: str, planes: str = "byte", with_ids:
 
 
 def token_round_trip(docs: DataFrame, tokenizer_path: str, end_id: int = 1, planes: str = "byte",
-                     path: str | None = None) -> DataFrame:
+                     path: str | None = None, special_as_text: bool = False) -> DataFrame:
     """Write all documents to files (a fresh folder in the shared one unless ``path`` is given) and
     read them back.  An empty table gives empty files and an empty result; other columns are
     ignored; repeated rows are written one by one."""
     path = path or scratch_path(docs.sparkSession, "tokens")
-    write_tokens(docs, tokenizer_path, path, end_id, planes)
+    write_tokens(docs, tokenizer_path, path, end_id, planes, special_as_text)
     return read_tokens(docs.sparkSession, path, planes)
