@@ -9,6 +9,7 @@ from trailguard.operators import cycles, features, model
 from trailguard.plans import oracle_sql as O
 from trailguard.plans.catalog import register
 from trailguard.session import scratch_path
+from trailguard.sources.feature_table import read_bucketed, write_bucketed
 from trailguard.sources.ledger import memo_path, prepared_ledger
 
 # Thresholds for this data (FIXTURES F7); the defaults (10 for smurfing and count) are hit by
@@ -17,12 +18,34 @@ DATA_RULES = RuleThresholds(smurfing=1e-4, target_growth=2, tx_count_delta=1, am
 
 
 def _rolling(spark, sf_dir):
-    return features.rolling_features(features.edges_of(prepared_ledger(spark, sf_dir)))
+    """The rolling features from their table, written once per session."""
+    def build(root):
+        rows = features.rolling_features(features.edges_of(prepared_ledger(spark, sf_dir)))
+        write_bucketed(rows, root, ["account_id"], ["account_id", "feature_date"])
+    return read_bucketed(spark, memo_path(spark, sf_dir, "feature-table", build))
 
 
 def _rolling_full(spark, sf_dir):
     e = features.edges_of(prepared_ledger(spark, sf_dir))
-    return features.with_round_trips(features.rolling_features(e), cycles.round_trips(e))
+    return features.with_round_trips(_rolling(spark, sf_dir), cycles.round_trips(e))
+
+
+@register("feature_table", O.with_ledger("SELECT * FROM rolling", O.HISTORY, O.TODAY, O.FEATURES))
+def feature_table(spark, sf_dir):
+    """Every row of the written table, read back."""
+    return _rolling(spark, sf_dir)
+
+
+@register("account_profile", O.with_ledger("""
+SELECT account_id, count(*) AS days, min(feature_date) AS first_day, max(feature_date) AS last_day,
+       max(today_tx) AS most_tx, max(today_targets) AS most_targets
+FROM rolling GROUP BY 1""", O.HISTORY, O.TODAY, O.FEATURES))
+def account_profile(spark, sf_dir):
+    """The feature table per account, aggregated in its buckets without a shuffle."""
+    return _rolling(spark, sf_dir).groupBy("account_id").agg(
+        F.count(F.lit(1)).alias("days"), F.min("feature_date").alias("first_day"),
+        F.max("feature_date").alias("last_day"), F.max("today_tx").alias("most_tx"),
+        F.max("today_targets").alias("most_targets"))
 
 
 def model_path(spark, sf_dir) -> str:
