@@ -194,8 +194,8 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 
 def _sample(docs: DataFrame, rows: int) -> pa.Array:
     """Up to ``rows`` texts for costs and selectivities, without effect on verdicts: the first rows of at
-    most ``SAMPLE_SPLITS`` input splits, spread evenly over the table.  Only these splits are opened, and
-    each is read no further than its share."""
+    most ``SAMPLE_SPLITS`` input splits, spread evenly over the table.  Only these splits are
+    read, however large the table."""
     texts = docs.select("text").rdd
     n = texts.getNumPartitions()
     picked = sorted({i * n // SAMPLE_SPLITS for i in range(SAMPLE_SPLITS)}) if n else []
