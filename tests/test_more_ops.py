@@ -129,3 +129,25 @@ def test_rolling_features_equal_joined_history_and_today(spark):
         F.col("anchor").cast("string"), *[F.coalesce(c, F.lit(0)).alias(c) for c in names])
     got = features.rolling_features(e).select("feature_date", *names)
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, joined.collect())))
+
+
+def test_a_hot_day_is_exported_in_several_files(spark, tmp_path):
+    from trailguard.sources.files import export_daily_csv
+    root = tmp_path / "csv"
+    df = spark.range(4000).selectExpr("id as txn_id", "if(id % 40 = 0, '2022-09-02', '2022-09-01') as date_str",
+                                      "concat('t', lpad(cast(pmod(id * 7, 4000) as string), 5, '0')) as ts")
+    small = "spark.sql.adaptive.coalescePartitions.enabled"     # would join partitions as small as these
+    was = spark.conf.get(small)
+    spark.conf.set(small, "false")
+    try:
+        export_daily_csv(df, str(root))
+    finally:
+        spark.conf.set(small, was)
+    hot = sorted((root / "date_str=2022-09-01").glob("*.csv"))
+    assert len(hot) > 1                                     # 97 % of the rows are one day's
+    for f in hot:
+        head, *lines = f.read_text().splitlines()
+        assert head == "txn_id,ts" and lines == sorted(lines, key=lambda r: r.split(",")[1])
+    back = spark.read.option("header", True).csv(str(root))
+    assert back.selectExpr("cast(txn_id as bigint) as txn_id", "ts", "cast(date_str as string) as date_str") \
+        .exceptAll(df.select("txn_id", "ts", "date_str")).count() == 0 and back.count() == 4000

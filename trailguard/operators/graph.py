@@ -17,7 +17,6 @@ from trailguard.functions.columns import date_text
 from trailguard.operators.windows import to_anchors
 
 EDGE_KEY = ["src", "dst", "run_date", "txn_id"]
-REFERENCE_EDGE_KEY = ["src", "dst", "txn_id"]      # option edge_key="reference" (§1.3)
 EDGE_PROPS = ["ts", "amount_received", "receiving_currency", "amount_paid", "payment_currency",
               "payment_format"]
 

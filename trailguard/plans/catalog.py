@@ -18,7 +18,6 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
-KINDS: dict[str, str] = {}          # "S" exact SQL oracle, "R" rows-only
 
 
 def temporal_as_text(df: DataFrame) -> DataFrame:
@@ -44,7 +43,6 @@ def register(name: str, oracle: str | None = None):
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
-        KINDS[name] = "S" if oracle else "R"
         if oracle:
             ORACLES[name] = oracle
         return fn
@@ -74,4 +72,4 @@ def all_oracles() -> dict[str, str]:
     return dict(ORACLES)
 
 
-__all__ = ["register", "QUERIES", "ORACLES", "KINDS", "all_queries", "all_oracles", "O", "F"]
+__all__ = ["register", "QUERIES", "ORACLES", "all_queries", "all_oracles", "O", "F"]

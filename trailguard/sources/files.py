@@ -98,9 +98,11 @@ def read_partitioned(spark: SparkSession, root: str, run_date: str | None = None
     return df
 
 
-def export_daily_csv(df: DataFrame, root: str, date_col: str = "date_str") -> None:
-    """One CSV folder per day with a header, in one job (no driver loop over dates)."""
-    write_partitioned(df, root, [date_col], fmt="csv", options={"header": True})
+def export_daily_csv(df: DataFrame, root: str, date_col: str = "date_str",
+                     order: Sequence[str] = ("ts", "txn_id")) -> None:
+    """One CSV folder per day, in one job (no driver loop over dates).  Every file has a header and
+    is sorted by ``order``; a hot day is cut by it into several files, each a task of its own."""
+    write_partitioned(df, root, [date_col], order, fmt="csv", options={"header": True})
 
 
 def write_staged_day(df: DataFrame, root: str, run_date: str) -> str:
