@@ -340,8 +340,61 @@ def test_license_scan(spark):
     assert got == [(1, "MIT", "file", ""), (2, "MIT", "inherited", "src"), (3, "Apache-2.0", "header", ""),
                    (3, "Apache-2.0", "header", ""), (4, "", "", ""), (5, "", "", ""), (6, "MIT", "inherited", "src"),
                    (7, "", "", "")]
-    plan = scan_licenses(df)._jdf.queryExecution().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+    bare = {r.doc_id: (r.path, r.license, r.origin) for r in scan_licenses(df, path=None).collect()}
+    assert bare == {1: (None, "MIT", "header"), 2: (None, None, None), 3: (None, "Apache-2.0", "header"),
+                    4: (None, None, None), 5: (None, None, None), 6: (None, None, None), 7: (None, None, None)}
+
+
+def test_license_scan_runs_no_python(spark, monkeypatch):
+    """The plans of every table that the scan writes, and of its result."""
+    from trailguard.llm import license_scan
+    plans, write = [], license_scan.materialize
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().toString())
+        return write(df, name)
+    monkeypatch.setattr(license_scan, "materialize", seen)
+    df = spark.createDataFrame([(1, "a/LICENSE", "Released under the MIT License."), (2, "a/b/c", "words")],
+                               "doc_id bigint, path string, text string")
+    plans.append(license_scan.scan_licenses(df)._jdf.queryExecution().toString())
+    assert len(plans) > 6 and not any(w in p for p in plans for w in ("Python", "Arrow", "Pandas"))
+
+
+def test_license_scan_brute_force(spark):
+    """Mixed, altered and cut notices and licence texts along paths, a directory with half of all rows."""
+    import random
+    from trailguard.llm import license_scan as L
+    rnd = random.Random(4)
+    texts, notices = L.licence_texts(), [t for many in L.TEMPLATES.values() for t in many]
+    plain = "once there was a village with a mill and a river that ran past it licence copyright and rights".split()
+    story = lambda n: " ".join(rnd.choice(plain) + rnd.choice(["", "", ".", "x", "\n"]) for _ in range(n))
+    rows = []
+    for i in range(160):
+        notice = rnd.choice(notices).split()
+        if rnd.random() < .5:
+            notice[rnd.randrange(len(notice))] = rnd.choice(plain)
+        whole = rnd.choice(sorted(t for t in texts.values() if len(t) < 3000))
+        text = rnd.choice([story(30), " ".join(notice), story(12) + "\n" + " ".join(notice) + "\n" + story(9),
+                           story(5) + " " + " ".join(notice) + " " + story(5), whole, whole[: rnd.randrange(len(whole))],
+                           story(9) + "\n" + whole, whole + story(rnd.choice([20, 900])), "", None])
+        path = rnd.choice(["", "hot/", "hot/", "a/", "a/b/", "a/b/c/", "d/e/", "/abs/x/"]) + \
+            rnd.choice(["x.py", "x.py", "LICENSE", "licence.md", "copying", "licenses", "license_plate.txt"])
+        rows.append((i // 2, None if rnd.random() < .05 else path, text))
+    rows += [rows[0]] * 3 + [(None, "hot/y", "Released under the MIT License.")]
+    df = spark.createDataFrame(rows, "doc_id bigint, path string, text string").repartition(5)
+    got = [(r.doc_id, r.license, r.similarity, r.origin, r.licensed_by) for r in L.scan_licenses(df).collect()]
+    want = brute.licenses(rows, L._all_templates(L.TEMPLATES, texts), L.KEYWORDS, L._NOTICE_WORD, L.RUN_WORDS)
+    near = lambda rows: sorted(((d, n, o, b, round(s or 0, 4)) for d, n, s, o, b in rows), key=repr)
+    assert near(got) == near(want)
+    assert len({n for _, n, *_ in want}) > 8 and {o for *_, o, _ in want} >= {"file", "header", "inherited"}
+
+
+def test_license_scan_takes_no_short_text_for_a_file(spark):
+    got = _scan(spark, [(1, "s/en/1", "A tale of a mill.\nThis work is licensed under the GNU General Public License, version 3."),
+                        (2, "s/en/2", "some words"), (3, "t/LICENSE", "This work is licensed under the GNU General Public License, "
+                                                     "version 3."), (4, "t/x", "some words")])
+    assert {d: (r.license, r.origin) for d, r in got.items()} == {
+        1: ("GPL-3.0", "header"), 2: (None, None), 3: ("GPL-3.0", "file"), 4: ("GPL-3.0", "inherited")}
 
 
 def test_components(spark):

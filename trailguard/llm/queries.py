@@ -53,11 +53,10 @@ def op6_simhash(spark, sf_dir):
 
 
 def op7_license_scan(spark, sf_dir):
-    """Documents have no path of their own: theirs is source/language/doc_id."""
+    """Documents have no path, so each is licensed by what its own text says; along paths licenses are
+    inherited where a table has them (``scan_licenses(path=...)``)."""
     from trailguard.llm.license_scan import scan_licenses
-    docs = _table(spark, sf_dir, "documents")
-    path = F.concat_ws("/", F.col("source"), F.col("lang"), F.col("doc_id").cast("string"))
-    return scan_licenses(docs.select("doc_id", "text", path.alias("path")))
+    return scan_licenses(_table(spark, sf_dir, "documents"), path=None)
 
 
 def op8_substring_dedup(spark, sf_dir):
