@@ -10,6 +10,6 @@ plans      the registered query catalogue used by ``__spark_entry__`` and ``benc
 streaming  decode, dedupe, keyed state, stream-static joins and the scoring pipeline
 """
 
-from trailguard.session import build_session, shared_dir, scratch_path
+from trailguard.session import build_session, scratch_path, scratch_scope, shared_dir
 
-__all__ = ["build_session", "shared_dir", "scratch_path"]
+__all__ = ["build_session", "shared_dir", "scratch_path", "scratch_scope"]

@@ -11,6 +11,8 @@ import tempfile
 import threading
 import uuid
 import zipfile
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -73,13 +75,36 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{_SUBDIR}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df, name: str = "stage"):
+_SCOPE: ContextVar[list | None] = ContextVar("trailguard-scratch", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Deletes at its end the scratch tables that :func:`materialize` and :func:`stash` write inside it.
+
+    Put a job with its final write (or collect) inside: frames that it made may read these tables and can't be used
+    afterwards.  What is kept by design -- tables derived once per session, state and records of streams, files written
+    to a path -- isn't scratch and stays.  Scopes nest, each with its own tables."""
+    held: list = []
+    token = _SCOPE.set(held)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        release(spark, held)
+
+
+def materialize(df, name: str = "stage", keep: bool = False):
     """Cut lineage by writing ``df`` as Parquet under the shared folder and reading it back.
 
     Survives executor loss (the files are on shared storage) and, unlike an RDD checkpoint,
-    keeps column pruning and filter pushdown for the readers."""
+    keeps column pruning and filter pushdown for the readers.  With ``keep`` the table outlives the
+    :func:`scratch_scope` it is written in."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    held = _SCOPE.get()
+    if held is not None and not keep:
+        held.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
@@ -129,7 +154,7 @@ def ship_package(spark: SparkSession) -> None:
         fd, zpath = tempfile.mkstemp(prefix="trailguard-", suffix=".zip")
         os.close(fd)
         with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
-            for f in sorted(pkg.rglob("*.py")):
+            for f in sorted(f for f in pkg.rglob("*") if f.suffix in (".py", ".txt")):
                 z.write(f, str(f.relative_to(pkg.parent)))
         sc.addPyFile(zpath)
         _SHIPPED.add(key)

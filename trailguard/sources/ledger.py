@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from trailguard.functions.columns import account_key
 from trailguard.operators.numbering import number_rows
-from trailguard.session import scratch_path
+from trailguard.session import scratch_path, scratch_scope
 
 # Fixed values of the ledger view (FIXTURES F7): currency by line number modulo 4,
 # payment format by quantity modulo 3, laundering label by order key modulo 5000.
@@ -88,13 +88,14 @@ _LOCK = threading.RLock()
 
 
 def memo_path(spark: SparkSession, sf_dir: str, name: str, build) -> str:
-    """Path of a derived table written once per session: ``build(path)`` writes it."""
+    """Path of a derived table written once per session: ``build(path)`` writes it; its scratch tables go when it is there."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     with _LOCK:
         path = _MEMO.get(key)
         if path is None:
             path = scratch_path(spark, name)
-            build(path)
+            with scratch_scope(spark):
+                build(path)
             _MEMO[key] = path
     return path
 
