@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from trailguard.llm import queries as Q
 from trailguard.llm.common import materialize
+from trailguard.session import scratch_scope
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -74,5 +75,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with scratch_scope(spark):       # a stage's own tables go when its result is written
+            docs = materialize(stage(spark, docs, sf_dir), name, keep=True)
     return docs
