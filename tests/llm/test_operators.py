@@ -468,3 +468,15 @@ def test_license_scan_finds_notices_inside_longer_lines(spark):
     got = _scan(spark, rows)
     assert {t: (got[i].license, got[i].origin) for i, t in enumerate(notices)} == \
         {t: (n, "header" if n else None) for t, n in notices.items()}
+
+
+def test_op7_inherits_within_a_source(spark, tmp_path):
+    """A whole licence text licenses its source's other documents, and no document of another or no source."""
+    from trailguard.llm.license_scan import licence_texts
+    from trailguard.llm.queries import op7_license_scan
+    rows = [(1, licence_texts()["MIT"], "s0"), (2, "some words", "s0"), (3, "some words", "s1"), (4, "some words", None),
+            (5, None, "s0"), (6, "Released under the GNU General Public License, version 3.", "s0")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.license, r.origin, r.licensed_by) for r in op7_license_scan(spark, str(tmp_path)).collect()}
+    assert got[1] == ("MIT", "file", None) and got[6][1] == "header"
+    assert got[2] == got[5] == ("MIT", "inherited", "source/s0") and got[3] == got[4] == (None, None, None)

@@ -53,10 +53,12 @@ def op6_simhash(spark, sf_dir):
 
 
 def op7_license_scan(spark, sf_dir):
-    """Documents have no path, so each is licensed by what its own text says; along paths licenses are
-    inherited where a table has them (``scan_licenses(path=...)``)."""
+    """A document lies in the directory of its source, so a licence file among a source's documents licenses those of
+    them that have no license of their own.  Without a source it lies alone."""
     from trailguard.llm.license_scan import scan_licenses
-    return scan_licenses(_table(spark, sf_dir, "documents"), path=None)
+    doc = F.col("doc_id").cast("string")
+    path = F.coalesce(F.concat(F.lit("source/"), "source", F.lit("/"), doc), F.concat(F.lit("document/"), doc, F.lit("/"), doc))
+    return scan_licenses(_table(spark, sf_dir, "documents").withColumn("path", path))
 
 
 def op8_substring_dedup(spark, sf_dir):
