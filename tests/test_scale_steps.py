@@ -1,0 +1,189 @@
+"""Steps that must not shuffle more than their input, whatever a planner thinks of its size."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from trailguard.operators.numbering import partitions_for
+from trailguard.operators.windows import to_anchors
+from trailguard.sources.ledger import LEDGER_COLUMNS, prepared_ledger
+
+
+@pytest.fixture
+def no_auto_broadcast(spark):
+    """What a planner does with tables it takes for large."""
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def ledger_tables(spark, root, n=300):
+    """lineitem and supplier; equal times, an unknown sender, and missing dates and keys."""
+    rnd, day = random.Random(3), dt.datetime(1999, 3, 1)
+    rows = [(rnd.randrange(40), rnd.choice([None, *range(60)]), rnd.choice([None, *range(12)]), rnd.randrange(1, 8), float(rnd.randrange(1, 9)),
+             float(rnd.randrange(1, 20000)), 0.1, rnd.choice([None, day, day, day + dt.timedelta(3)])) for _ in range(n)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+                          "l_extendedprice double, l_discount double, l_shipdate timestamp").write.parquet(f"{root}/lineitem.parquet")
+    spark.createDataFrame([(i, i % 4) for i in range(11)], "s_suppkey long, s_nationkey int").write.parquet(f"{root}/supplier.parquet")
+    return rows
+
+
+def test_ledger_rows_and_numbers(spark, tmp_path, no_auto_broadcast):
+    rows = ledger_tables(spark, tmp_path)
+    led = prepared_ledger(spark, str(tmp_path))
+    got = [r.asDict() for r in led.orderBy("txn_id").collect()]
+    assert list(got[0]) == LEDGER_COLUMNS and [r["txn_id"] for r in got] == list(range(1, len(got) + 1))
+    assert len(got) == sum(s is not None and s < 11 and p is not None for _, p, s, *_ in rows)
+    order = [(r["ts"] is not None, r["ts"], r["from_bank"], r["from_account"], r["to_bank"], r["to_account"], r["l_orderkey"],
+              r["l_linenumber"], r["l_partkey"]) for r in got]
+    assert [x[0] for x in order] == sorted(x[0] for x in order)
+    assert [x for x in order if x[0]] == sorted(x for x in order if x[0])
+    for r in got:
+        assert r["from_acc"] == f"{r['from_bank']}_{r['from_account']}" and r["to_acc"] == f"{r['to_bank']}_{r['to_account']}"
+        assert int(r["to_account"]) == r["l_partkey"] % 11 and r["is_laundering"] == (r["l_orderkey"] == 7)
+        assert r["amount_received"] == r["amount_paid"] * 0.9
+
+
+def test_ledger_is_built_with_one_shuffle(spark, tmp_path, no_auto_broadcast):
+    from trailguard.sources.ledger import ledger_parts
+    ledger_tables(spark, tmp_path)
+    assert "SortMergeJoin" not in plan(ledger_parts(spark, str(tmp_path)))
+    assert "Exchange hashpartitioning" not in plan(ledger_parts(spark, str(tmp_path)))
+
+
+def test_exploded_days_are_not_shuffled(spark, no_auto_broadcast):
+    df = spark.range(50).select("id", F.date_add(F.lit("2022-09-01").cast("date"), (F.col("id") % 9).cast("int")).alias("run_date"))
+    got = to_anchors(df, None, days=3)
+    assert "SortMergeJoin" not in plan(got)
+    assert got.count() == sum(sum(d + k <= 8 for k in range(3)) for d in (i % 9 for i in range(50)))
+
+
+def test_partitions_grow_with_the_rows(spark):
+    assert partitions_for(spark, 1000) is None
+    assert partitions_for(spark, 40_000_000) == 80
+
+
+def random_edges(spark, rnd, n, days):
+    day = dt.date(1999, 3, 1)
+    rows = [(rnd.choice("abcde"), rnd.choice("abcde"), i, float(rnd.randrange(1, 20000)), day + dt.timedelta(rnd.randrange(days)))
+            for i in range(n)]
+    return rows, spark.createDataFrame(rows, "src string, dst string, txn_id long, amount_paid double, run_date date")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_windows_over_block_borders(spark, seed, no_auto_broadcast):
+    """Blocks are 20 days long; windows that cross their borders are whole, and each anchor comes once."""
+    from trailguard.operators import features
+    from trailguard.operators.windows import block_pairs
+    rows, edges = random_edges(spark, random.Random(seed), 90, 50)
+    days = {r[4] for r in rows}
+    want = {}
+    for s, d, _, _, day in rows:
+        for a in days:
+            if 0 <= (a - day).days < 5:
+                want[s, d, a] = want.get((s, d, a), 0) + 1
+    got = [(r.src, r.dst, r.anchor, r.n) for r in block_pairs(edges).collect()]
+    assert sorted(got) == sorted((*k, n) for k, n in want.items())
+    f = [(r.account_id, r.feature_date, r.feature_tx_count, r.today_tx, r.feature_unique_targets) for r in features.rolling_features(edges).collect()]
+    by = {}
+    for s, d, _, _, day in rows:
+        for a in days:
+            if 0 <= (a - day).days < 5:
+                g = by.setdefault((s, str(a)), [0, 0, set()])
+                g[day == a] += 1
+                if day != a:
+                    g[2].add(d)
+    assert sorted(f) == sorted((*k, h, t, len(u)) for k, (h, t, u) in by.items())
+
+
+def exchanges(df):
+    return sum(line.strip(" +-:").startswith("Exchange hashpartitioning") for line in plan(df).splitlines())
+
+
+def test_windows_shuffle_the_edges_once(spark, no_auto_broadcast):
+    from trailguard.operators import features
+    from trailguard.operators.windows import block_pairs
+    _, edges = random_edges(spark, random.Random(0), 20, 9)
+    edges = edges.localCheckpoint()
+    # the other one is that of the distinct days
+    assert exchanges(features.rolling_features(edges)) <= 3 and exchanges(block_pairs(edges)) <= 3
+
+
+@pytest.mark.parametrize("lens", [(1, 2), (2, 2), (2, 3), (1, 4)])
+def test_paths_over_block_borders(spark, lens):
+    from trailguard.operators.graph import expand_paths
+    rows, edges = random_edges(spark, random.Random(7), 45, 30)
+    seeds = {(r[0], r[4]) for r in rows}
+    want = set()
+    for s, a in seeds:
+        near = [r for r in rows if 0 <= (a - r[4]).days < 5]
+        trails = [[e] for e in near if e[0] == s]
+        for n in range(1, lens[1] + 1):
+            if n >= lens[0]:
+                want |= {(s, a, e[0], e[1]) for t in trails for e in t}
+            trails = [[*t, e] for t in trails for e in near if e[0] == t[-1][1] and e not in t]
+    got = expand_paths(edges, spark.createDataFrame(list(seeds), "account_id string, anchor_date date"), *lens).collect()
+    assert len(got) == len(set(got)) and {tuple(r) for r in got if lens[1] < 4} == (want if lens[1] < 4 else set())
+    assert {tuple(r) for r in got} >= want
+
+
+def test_full_trees_score_like_the_node_tables():
+    import numpy as np
+    from trailguard.operators import model as M
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(500, 4))
+    x[:, 0] = np.floor(x[:, 0])
+    trees = [M.build_tree(x[rng.choice(500, 64, replace=False)], rng, 6) for _ in range(7)]
+    width = max(len(t[0]) for t in trees)
+    arr = {k: np.full((7, width), v) for k, v in (("feature", -1), ("threshold", 0.0), ("left", 0), ("right", 0), ("plen", 0.0))}
+    for i, (feat, thr, left, right, _, depth) in enumerate(trees):
+        for k, v in (("feature", feat), ("threshold", thr), ("left", left), ("right", right)):
+            arr[k][i, :len(v)] = v
+        arr["plen"][i, :len(feat)] = [d + rng.random() for d in depth]
+    x[3, 1] = np.nan
+    want = []
+    for row in x:
+        total = 0.0
+        for i in range(7):
+            node = 0
+            while arr["feature"][i, node] >= 0:
+                node = arr["left" if row[arr["feature"][i, node]] <= arr["threshold"][i, node] else "right"][i, node]
+            total += arr["plen"][i, node]
+        want.append(total)
+    assert M._path_lengths(x, M._full_trees(arr, max(max(t[5]) for t in trees))).tolist() == want
+
+
+def test_topic_is_written_without_a_shuffle_and_compressed(spark, tmp_path):
+    import os
+    from trailguard.streaming.replay import publish
+    from trailguard.streaming.wire import file_source
+    values = spark.range(0, 3000, 1, 3).select(F.concat(F.lit('{"k": "'), F.repeat(F.lit("text "), 30), F.col("id"), F.lit('"}')).alias("value"))
+    publish(values, f"{tmp_path}/topic")
+    files = [f for f in os.listdir(f"{tmp_path}/topic") if f.startswith("part")]
+    assert len(files) == 3 and sum(os.path.getsize(f"{tmp_path}/topic/{f}") for f in files) < 3000 * 80
+    q = file_source(spark, f"{tmp_path}/topic").writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c") \
+        .trigger(availableNow=True).start(f"{tmp_path}/out")
+    q.awaitTermination(120)
+    got = sorted(r.value for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == sorted(r.value for r in values.collect())
+
+
+def test_merges_grow_with_the_base(spark, tmp_path):
+    from trailguard.streaming.store import KeyedStore
+    store = KeyedStore(spark, f"{tmp_path}/s", "k long", "v long", "sum", compact_every=1)
+    merged, compact = [], store.compact
+    store.compact = lambda upto, keep=None: (merged.append(upto), compact(upto, keep))
+    for i in range(14):
+        store.maintain(i)
+        store.upsert(spark.createDataFrame([(1, i), (i, 1)], "k long, v long"), i)
+    assert merged == [0, 1, 2, 3, 5, 8, 12]           # not every batch
+    want = {i: 1 for i in range(14)}
+    want[1] = 1 + sum(range(14))
+    assert {r.k: r.v for r in store.read().collect()} == want
