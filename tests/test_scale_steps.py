@@ -51,6 +51,16 @@ def test_ledger_rows_and_numbers(spark, tmp_path, no_auto_broadcast):
         assert r["amount_received"] == r["amount_paid"] * 0.9
 
 
+def test_both_ways_to_number_a_ledger_agree(spark, tmp_path):
+    from trailguard.sources.ledger import ledger_source, number_ledger
+    ledger_tables(spark, tmp_path)
+    prepared = prepared_ledger(spark, str(tmp_path))
+    other = number_ledger(ledger_source(spark, str(tmp_path)))
+    assert other.columns == prepared.columns
+    key = lambda r: str({k: v for k, v in r.asDict().items() if k != "txn_id"})
+    assert sorted(map(key, other.collect())) == sorted(map(key, prepared.collect()))
+
+
 def test_ledger_is_built_with_one_shuffle(spark, tmp_path, no_auto_broadcast):
     from trailguard.sources.ledger import ledger_parts
     ledger_tables(spark, tmp_path)
