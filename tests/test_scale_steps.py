@@ -197,3 +197,43 @@ def test_merges_grow_with_the_base(spark, tmp_path):
     want = {i: 1 for i in range(14)}
     want[1] = 1 + sum(range(14))
     assert {r.k: r.v for r in store.read().collect()} == want
+
+
+def test_leaf_masks_score_like_walks():
+    import numpy as np
+    from trailguard.operators import model as M
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 4))
+    x[:, 0] = np.floor(x[:, 0])
+    x[5, 2], x[6, 2], x[7, 2], x[8, 2] = np.nan, np.inf, -np.inf, -0.0
+    trees = [M.build_tree(x[10:][rng.choice(2990, n, replace=False)], rng, 8) for n in (256, 256, 1, 2, 40, 200)]
+    assert max(sum(f < 0 for f in t[0]) for t in trees) > 64 and min(len(t[0]) for t in trees) == 1
+    width = max(len(t[0]) for t in trees)
+    arr = {k: np.full((len(trees), width), v) for k, v in (("feature", -1), ("threshold", 0.0), ("left", 0), ("right", 0), ("plen", 0.0))}
+    for i, (feat, thr, left, right, _, _) in enumerate(trees):
+        for k, v in (("feature", feat), ("threshold", thr), ("left", left), ("right", right)):
+            arr[k][i, :len(v)] = v
+        arr["plen"][i] = rng.random(width)
+    cuts = sorted({t for tree in trees for f, t in zip(tree[0], tree[1]) if f == 1})
+    x[20:20 + len(cuts), 1] = cuts                       # a value that equals a threshold goes left
+    full = M._full_trees(arr, max(max(t[5]) for t in trees))
+    assert full["masks"] is not None
+    by_masks = M._path_lengths(x, full)
+    assert by_masks.tolist() == M._path_lengths(x, full | {"masks": None}).tolist()
+
+
+def test_percentile_shuffles_only_counts(spark, tmp_path, monkeypatch):
+    import numpy as np
+    from trailguard.operators import model as M
+    monkeypatch.setattr(M, "PERCENTILE_ROWS", 5)         # many rounds
+    rng = np.random.default_rng(1)
+    cases = [rng.normal(size=400), np.repeat([1.0, 2.0, 2.0 + 2 ** -51], 30), np.array([-1e308, 1e308, 5.0] * 4 + [5e-324] * 9),
+             np.array([-np.inf, 1.0, 2.0, np.inf]), np.array([7.0])]
+    for values in cases:
+        df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "x double")
+        for q in (0.0, 0.01, 0.3, 0.5, 1.0):
+            at = q * (len(values) - 1)
+            a, b = np.sort(values)[[int(np.floor(at)), int(np.ceil(at))]]
+            want = a + (b - a) * (at - np.floor(at))
+            got = M.percentile(df, "x", q)
+            assert got == want or np.isnan(got) and np.isnan(want), (values[:4], q)
