@@ -126,6 +126,24 @@ def test_windows_shuffle_the_edges_once(spark, no_auto_broadcast):
     assert exchanges(features.rolling_features(edges)) <= 3 and exchanges(block_pairs(edges)) <= 3
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_window_statistics_shuffle_the_edges_once_and_are_whole(spark, seed, no_auto_broadcast):
+    from trailguard.operators import features
+    rows, edges = random_edges(spark, random.Random(seed), 80, 50)
+    edges = edges.localCheckpoint()
+    days = {r[4] for r in rows}
+    stats, history = features.tx_stats(edges), features.history_and_today(edges)[0]
+    assert exchanges(stats) <= 3 and exchanges(history) <= 3
+    for got, first in ((stats, 0), (history, 1)):
+        want = {}
+        for s, d, _, amount, day in rows:
+            for a in days:
+                if first <= (a - day).days < 5:
+                    want.setdefault((s, a), []).append((amount, d))
+        want = {k: (len(v), sum(x for x, _ in v) / len(v), len({d for _, d in v})) for k, v in want.items()}
+        assert {(r[0], r[1]): tuple(r[2:5]) for r in got.collect()} == want
+
+
 @pytest.mark.parametrize("lens", [(1, 2), (2, 2), (2, 3), (1, 4)])
 def test_paths_over_block_borders(spark, lens):
     from trailguard.operators.graph import expand_paths
