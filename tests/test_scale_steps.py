@@ -255,3 +255,25 @@ def test_percentile_shuffles_only_counts(spark, tmp_path, monkeypatch):
             want = a + (b - a) * (at - np.floor(at))
             got = M.percentile(df, "x", q)
             assert got == want or np.isnan(got) and np.isnan(want), (values[:4], q)
+
+
+def test_degrees_are_joined_without_shuffling_the_pairs(spark, no_auto_broadcast, monkeypatch):
+    from trailguard.operators import cycles
+    pairs = spark.createDataFrame([("a", "b", 1, 1), ("b", "c", 1, 2), ("c", "a", 2, 1), ("a", "a", 1, 5), (None, "a", 1, 1)],
+                                  "src string, dst string, anchor int, n long")
+    few = cycles.with_degrees(pairs)
+    assert "hashpartitioning" not in plan(few) and "SortMergeJoin" not in plan(few)
+    monkeypatch.setattr(cycles, "BROADCAST_RANKS", 0)
+    many = cycles.with_degrees(pairs)
+    assert "SortMergeJoin" in plan(many)
+    key = lambda df: sorted((r.src, r.dst, r.anchor, r.n, r.deg_src, r.deg_dst) for r in df.collect())
+    assert key(few) == key(many) == [("a", "b", 1, 1, 2, 2), ("b", "c", 1, 2, 2, 2), ("c", "a", 2, 1, 2, 2)]
+
+
+def test_closed_trails_write_their_parts_one_after_the_other(spark, monkeypatch):
+    from trailguard.operators import cycles
+    _, edges = random_edges(spark, random.Random(8), 60, 9)
+    written = []
+    monkeypatch.setattr(cycles, "materialize", lambda df, name="stage", make=cycles.materialize: (written.append(name), make(df, name))[1])
+    assert cycles.round_trips(edges).count() > 0
+    assert written == ["pairs", "reciprocal", "triangles"]
